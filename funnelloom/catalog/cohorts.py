@@ -111,7 +111,7 @@ def sellers_funnel(t):
 )
 def cohort_multi_grain(t):
     base = sellers.enrich_first_events(t.leads, t.state_log, t.stage_log, AS_OF)
-    out = rollup.cohort_by_grain(base, {"cal_mm": F.col("mm_date").isNotNull()}, name=None)
+    out = rollup.cohort_by_grain(base, {"cal_mm": "mm_date IS NOT NULL"}, name=None)
     return out.select("g", "country", "source_id", "p", "tr", "t", "cal_mm")
 
 
@@ -134,7 +134,7 @@ def enrich_first_events(t):
 )
 def union_all_grains(t):
     daily = scan_leads(t.leads, AS_OF).groupBy("country", "created").agg(F.count("*").alias("n"))
-    out = rollup.explode_grains(daily, "created").groupBy("g", "country", "start")
+    out = rollup.explode_grains(daily, "created", ("country", "n")).groupBy("g", "country", "start")
     return out.agg(F.sum("n").alias("n")).withColumn("start", F.col("start").cast("string"))
 
 

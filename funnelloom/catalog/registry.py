@@ -48,7 +48,7 @@ def query(key: str, oracle: str | None = None):
             raise KeyError(f"{key} registered twice")
         QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
         if oracle is not None:
-            ORACLES[key] = compose(oracle)
+            ORACLES[key] = oracle
         return fn
 
     return wrap

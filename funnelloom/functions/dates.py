@@ -68,6 +68,18 @@ _LABELS = {
 }
 
 
+def bucket_sql(day: str, grain: str) -> str:
+    """``bucket_start`` as SQL text, for expressions built in one piece."""
+    return {
+        "D": day,
+        "W": f"trunc({day}, 'WEEK')",
+        "C": f"date_sub({day}, (dayofweek({day}) + 3) % 7)",
+        "M": f"trunc({day}, 'MONTH')",
+        "Q": f"trunc({day}, 'QUARTER')",
+        "Y": f"trunc({day}, 'YEAR')",
+    }[grain]
+
+
 def bucket_start(d: Column, grain: str) -> Column:
     """First day of the bucket that holds ``d``."""
     return _STARTS[grain](d)
@@ -78,12 +90,13 @@ def bucket_label(start: Column, grain: str) -> Column:
     return _LABELS.get(grain, lambda s: s.cast("string"))(start)
 
 
-def grain_label(grain: Column, start: Column) -> Column:
-    """``bucket_label`` for rows of mixed grain."""
-    out = start.cast("string")
-    for code, label in _LABELS.items():
-        out = F.when(grain == code, label(start)).otherwise(out)
-    return out
+def grain_label(grain: str = "g", start: str = "start") -> Column:
+    """``bucket_label`` for rows of mixed grain, by column names."""
+    return F.expr(
+        f"CASE {grain} WHEN 'M' THEN date_format({start}, 'yyyy-MM') "
+        f"WHEN 'Q' THEN concat(year({start}), '-Q', quarter({start})) "
+        f"WHEN 'Y' THEN CAST(year({start}) AS STRING) ELSE CAST({start} AS STRING) END"
+    )
 
 
 def bucket_of_day(day: dt.date, grain: str) -> dt.date:
@@ -105,12 +118,10 @@ def exclude_open_period(df: DataFrame, bucket: str, as_of: dt.date, grain: str)
     return df.where(F.col(bucket) < F.lit(bucket_of_day(as_of, grain)))
 
 
-def flag_open_period(grain: Column, start: Column, as_of: dt.date) -> Column:
+def flag_open_period(as_of: dt.date, grain: str = "g", start: str = "start") -> Column:
     """True for the bucket that contains ``as_of``, whatever the row's grain."""
-    out = F.lit(False)
-    for code in GRAINS:
-        out = F.when(grain == code, start == F.lit(bucket_of_day(as_of, code))).otherwise(out)
-    return out
+    arms = " ".join(f"WHEN '{g}' THEN DATE '{bucket_of_day(as_of, g)}'" for g in GRAINS)
+    return F.expr(f"{start} = CASE {grain} {arms} END")
 
 
 def lookback_start(as_of: dt.date, days: int = 0, weeks: int = 0, to_week: bool = False) -> dt.date:

@@ -56,34 +56,32 @@ def first_windowed_event(log: DataFrame, states: Sequence[int], first: Column, t
     return first_event(log.where(F.col("ts") >= first), states, track)
 
 
-def _order_of(ts: Column, seq: Column, state: Column) -> Column:
-    """Time, position and state in one long: a primitive buffer keeps the aggregate
-    hash-based. Milliseconds in the high bits, ten bits each for the other two."""
-    millis = F.unix_millis(ts.cast("timestamp"))
-    return F.shiftleft(millis, 20) + F.shiftleft(seq.cast("long"), 10) + state.cast("long")
+# Time, position and state in one long: a primitive buffer keeps the aggregate
+# hash-based. Milliseconds in the high bits, ten bits each for the other two.
+_ORDER = (
+    "shiftleft(unix_millis(CAST(ts AS TIMESTAMP)), 20) + shiftleft(CAST(seq AS BIGINT), 10) + state_id"
+)
 
 
 def latest_state(log: DataFrame, track: str = "mm", out: str = "state_id") -> DataFrame:
     """State of each deal after its last log row (time, then position, then id)."""
-    rows = log.where(F.col("deal_id").isNotNull() & (F.col("track") == track))
-    packed = F.max(_order_of(F.col("ts"), F.col("seq"), F.col("state_id")))
-    return rows.groupBy(*DEAL).agg((packed % 1024).cast("int").alias(out))
+    rows = log.where(f"deal_id IS NOT NULL AND track = '{track}'")
+    return rows.groupBy(*DEAL).agg(F.expr(f"CAST(max({_ORDER}) % 1024 AS INT) AS {out}"))
 
 
 def deal_summary(log: DataFrame) -> DataFrame:
     """Everything the cohort boards need per deal from one pass over both tracks:
     first qualification on each track and current state on each track."""
-    mm, inmo = F.col("track") == "mm", F.col("track") == "inmo"
-    order = _order_of(F.col("ts"), F.col("seq"), F.col("state_id"))
-    day = F.to_date("ts")
+    mm = ", ".join(str(s) for s in QUALIFIED_MM)
+    inmo = ", ".join(str(s) for s in QUALIFIED_INMO)
     return (
-        log.where(F.col("deal_id").isNotNull())
+        log.where("deal_id IS NOT NULL")
         .groupBy(*DEAL)
         .agg(
-            F.min(F.when(mm & F.col("state_id").isin(*QUALIFIED_MM), day)).alias("mm_date"),
-            F.min(F.when(inmo & F.col("state_id").isin(*QUALIFIED_INMO), day)).alias("inmo_date"),
-            (F.max(F.when(mm, order)) % 1024).cast("int").alias("state_id"),
-            (F.max(F.when(inmo, order)) % 1024).cast("int").alias("inmo_state_id"),
+            F.expr(f"to_date(min(ts) FILTER (WHERE track = 'mm' AND state_id IN ({mm}))) AS mm_date"),
+            F.expr(f"to_date(min(ts) FILTER (WHERE track = 'inmo' AND state_id IN ({inmo}))) AS inmo_date"),
+            F.expr(f"CAST(max({_ORDER}) FILTER (WHERE track = 'mm') % 1024 AS INT) AS state_id"),
+            F.expr(f"CAST(max({_ORDER}) FILTER (WHERE track = 'inmo') % 1024 AS INT) AS inmo_state_id"),
         )
     )
 

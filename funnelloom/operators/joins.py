@@ -60,8 +60,9 @@ def fan_out_counts(
     a * b from one joined row, so a key that holds much of both tables costs no more
     than any other.
     """
-    a = left.where(F.col(on[-1]).isNotNull()).groupBy(*on, *left_keys).agg(F.count("*").alias("__a"))
-    b = right.where(F.col(on[-1]).isNotNull()).groupBy(*on, *right_keys).agg(F.count("*").alias("__b"))
+    keyed = F.col(on[-1]).isNotNull()
+    a = left.where(keyed).groupBy(*dict.fromkeys([*on, *left_keys])).agg(F.count("*").alias("__a"))
+    b = right.where(keyed).groupBy(*dict.fromkeys([*on, *right_keys])).agg(F.count("*").alias("__b"))
     return (
         a.join(b, list(on))
         .groupBy(*left_keys, *right_keys)

@@ -4,31 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from funnelloom.functions.dates import bucket_start, grain_label
+from funnelloom.functions.dates import bucket_sql, grain_label
 from funnelloom.spec import GRAINS, LATEST_BUCKETS
 
 
-def explode_grains(df: DataFrame, day: str, per_grain: dict[str, str] | None = None, grains: Sequence[str] = GRAINS) -> DataFrame:
-    """Each row once per grain, with the bucket's first day.
+def explode_grains(
+    df: DataFrame,
+    day: str,
+    keep: Sequence[str],
+    per_grain: dict[str, str] | None = None,
+    grains: Sequence[str] = GRAINS,
+) -> DataFrame:
+    """Each row once per grain, with the bucket's first day and the ``keep`` columns.
 
     ``per_grain`` maps an output column to a column prefix; the column
     ``<prefix>_<grain>`` of the row becomes that output.
     """
-    extra = per_grain or {}
-    rows = [
-        F.struct(
-            F.lit(g).alias("g"),
-            bucket_start(F.col(day), g).alias("start"),
-            *[F.col(f"{prefix}_{g}").alias(name) for name, prefix in extra.items()],
-        )
-        for g in grains
-    ]
-    drop = [f"{prefix}_{g}" for prefix in extra.values() for g in grains]
-    kept = [c for c in df.columns if c not in drop and c != day]
-    return df.select(*kept, F.inline(F.array(*rows)))
+    structs = []
+    for g in grains:
+        extra = "".join(f", '{out}', {prefix}_{g}" for out, prefix in (per_grain or {}).items())
+        structs.append(f"named_struct('g', '{g}', 'start', {bucket_sql(day, g)}{extra})")
+    return df.selectExpr(*keep, f"inline(array({', '.join(structs)}))")
 
 
 def latest_buckets(df: DataFrame, n: int = LATEST_BUCKETS, unlimited: Sequence[str] = ("Y",)) -> DataFrame:
@@ -51,22 +50,23 @@ def count_by_grain(df: DataFrame, keys: Sequence[str], day: str = "created") ->
     """
     daily = df.groupBy(*keys, day).agg(F.count("*").alias("n"))
     out = (
-        explode_grains(daily, day)
+        explode_grains(daily, day, (*keys, "n"))
         .groupBy("g", "start", *keys)
         .agg(F.sum("n").alias("n"))
     )
-    return latest_buckets(out).withColumn("p", grain_label(F.col("g"), F.col("start")))
+    return latest_buckets(out).withColumn("p", grain_label())
 
 
 def cohort_by_grain(
     df: DataFrame,
-    metrics: dict[str, Column],
+    metrics: dict[str, str],
     keys: Sequence[str] = ("country", "source_id"),
     day: str = "created",
     asset: str = "asset_id",
     name: str | None = "source_name",
 ) -> DataFrame:
-    """Rows, distinct assets and conditional counts at six grains.
+    """Rows, distinct assets and conditional counts at six grains. ``metrics`` maps an
+    output column to a condition in SQL text.
 
     Distinct assets are not additive over days, yet exploding every lead by six
     grains before a distinct count would shuffle six times the table. Instead each
@@ -80,28 +80,23 @@ def cohort_by_grain(
     names = [name] if name else []
     per_asset = df.groupBy(*keys, *names, day, asset).agg(
         F.count("*").alias("tr"),
-        *[F.count_if(test).alias(m) for m, test in metrics.items()],
+        *[F.expr(f"count_if({test}) AS {m}") for m, test in metrics.items()],
     )
     before = F.lag(day).over(Window.partitionBy(*keys, asset).orderBy(day))
-    with_before = per_asset.withColumn("__before", before)
-
-    def opens(g: str) -> Column:
-        changed = bucket_start(F.col("__before"), g) != bucket_start(F.col(day), g)
-        return F.col(asset).isNotNull() & (F.col("__before").isNull() | changed)
-
-    daily = with_before.groupBy(*keys, *names, day).agg(
-        F.sum("tr").alias("tr"),
-        *[F.count_if(opens(g)).alias(f"__t_{g}") for g in GRAINS],
-        *[F.sum(m).alias(m) for m in metrics],
+    opens = {
+        g: f"{asset} IS NOT NULL AND (__before IS NULL OR "
+        f"{bucket_sql('__before', g)} != {bucket_sql(day, g)})"
+        for g in GRAINS
+    }
+    sums = [F.expr(f"sum({m}) AS {m}") for m in ("tr", *metrics)]
+    daily = (
+        per_asset.withColumn("__before", before)
+        .groupBy(*keys, *names, day)
+        .agg(*[F.expr(f"count_if({test}) AS __t_{g}") for g, test in opens.items()], *sums)
     )
     out = (
-        explode_grains(daily, day, {"t": "__t"})
+        explode_grains(daily, day, (*keys, *names, "tr", *metrics), {"t": "__t"})
         .groupBy("g", "start", *keys)
-        .agg(
-            *[F.min(n).alias(n) for n in names],
-            F.sum("tr").alias("tr"),
-            F.sum("t").alias("t"),
-            *[F.sum(m).alias(m) for m in metrics],
-        )
+        .agg(*[F.min(n).alias(n) for n in names], F.sum("t").alias("t"), *sums)
     )
-    return latest_buckets(out).withColumn("p", grain_label(F.col("g"), F.col("start")))
+    return latest_buckets(out).withColumn("p", grain_label())

@@ -16,7 +16,6 @@ from funnelloom.operators.events import (
     deal_summary,
     first_assignment,
     latest_state,
-    rescued_after,
     transition_summary,
 )
 from funnelloom.operators.joins import left_join_spread
@@ -45,24 +44,20 @@ def enrich_first_events(leads: DataFrame, log: DataFrame, stage_log: DataFrame,
     return left_join_spread(with_deal, first_assignment(stage_log), ASSET, "asset_id")
 
 
-def sellers_metrics() -> dict[str, Column]:
-    mm = F.col("mm_date").isNotNull()
-    inmo = F.col("inmo_date").isNotNull()
-    state = F.col("state_id")
-    return {
-        "cal_mm": mm,
-        "cal_inmo": inmo,
-        "asg_inmo": F.col("assigned_date").isNotNull(),
-        "cal_mm_no_inmo": mm & ~inmo,
-        "cal_mm_dup": mm & (state == STATE_DUPLICATE),
-        "cal_mm_desc": mm & state.isin(*LATE_DISCARD),
-        "incomp": state == STATE_INCOMPLETE,
-        "dup": state == STATE_DUPLICATE,
-    }
+SELLERS_METRICS = {
+    "cal_mm": "mm_date IS NOT NULL",
+    "cal_inmo": "inmo_date IS NOT NULL",
+    "asg_inmo": "assigned_date IS NOT NULL",
+    "cal_mm_no_inmo": "mm_date IS NOT NULL AND inmo_date IS NULL",
+    "cal_mm_dup": f"mm_date IS NOT NULL AND state_id = {STATE_DUPLICATE}",
+    "cal_mm_desc": f"mm_date IS NOT NULL AND state_id IN {LATE_DISCARD}",
+    "incomp": f"state_id = {STATE_INCOMPLETE}",
+    "dup": f"state_id = {STATE_DUPLICATE}",
+}
 
 
 def sellers_funnel(leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date) -> DataFrame:
-    metrics = sellers_metrics()
+    metrics = SELLERS_METRICS
     out = cohort_by_grain(enrich_first_events(leads, log, stage_log, as_of), metrics)
     return out.select(
         "g",
@@ -121,25 +116,26 @@ def mm_without_inmo(leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_o
     )
 
 
-def transition_metrics() -> dict[str, Column]:
-    """A NULL current state counts as having left."""
-    inc, rev = F.col("ever_inc") == 1, F.col("ever_rev") == 1
-    state = F.col("state_id")
+def _waiting_metrics(prefix: str, states: tuple[int, ...]) -> dict[str, str]:
+    """A NULL current state counts as having left; a rescue is a qualification
+    strictly after the first entry."""
+    passed = f"ever_{prefix} = 1"
+    inside = ", ".join(str(s) for s in states)
     return {
-        "inc_pass": inc,
-        "inc_left": inc & (state.isNull() | ~state.isin(*WAITING_INCOMPLETE)),
-        "inc_to_20": inc & rescued_after(F.col("first_inc"), F.col("last_20")),
-        "rev_pass": rev,
-        "rev_left": rev & (state.isNull() | ~state.isin(*WAITING_REVIEW)),
-        "rev_to_20": rev & rescued_after(F.col("first_rev"), F.col("last_20")),
+        f"{prefix}_pass": passed,
+        f"{prefix}_left": f"{passed} AND (state_id IS NULL OR state_id NOT IN ({inside}))",
+        f"{prefix}_to_20": f"{passed} AND last_20 > first_{prefix}",
     }
 
 
+TRANSITION_METRICS = _waiting_metrics("inc", WAITING_INCOMPLETE) | _waiting_metrics("rev", WAITING_REVIEW)
+
+
 def transition_multi_grain(leads: DataFrame, log: DataFrame, as_of: dt.date) -> DataFrame:
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
     # Both tables are grouped by deal, so one shuffle of the leads serves both joins.
     per_deal = transition_summary(log).join(latest_state(log), list(DEAL), "full_outer")
-    metrics = transition_metrics()
+    metrics = TRANSITION_METRICS
     out = cohort_by_grain(left_join_spread(base, per_deal, DEAL, "deal_id"), metrics)
     return out.select(
         "g",
@@ -181,11 +177,14 @@ def transitory_rates(board: DataFrame, as_of: dt.date, shown: int = 20) -> DataF
         rates[f"{s}_left_rate"] = F.coalesce(pct(F.col(f"{s}_left"), F.col(f"{s}_pass")), zero)
         rates[f"{s}_rescue_of_pass"] = F.coalesce(pct(F.col(f"{s}_to_20"), F.col(f"{s}_pass")), zero)
         rates[f"{s}_rescue_of_left"] = F.coalesce(pct(F.col(f"{s}_to_20"), F.col(f"{s}_left")), zero)
-    return rows.select(
+    shown_rates = rows.select(
         "g",
         "c",
         "p",
         *[r.alias(n) for n, r in rates.items()],
-        *[scaled(rates[n], over).alias(f"{n}_scaled") for n in rates if not n.endswith("of_left")],
-        flag_open_period(F.col("g"), F.col("start"), as_of).alias("open_period"),
+        flag_open_period(as_of).alias("open_period"),
+    )
+    return shown_rates.select(
+        "*",
+        *[scaled(F.col(n), over).alias(f"{n}_scaled") for n in rates if not n.endswith("of_left")],
     )

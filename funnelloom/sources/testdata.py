@@ -350,6 +350,23 @@ BINDINGS: dict[str, tuple[str, dict[str, str], str | None]] = {
     ),
 }
 
+# Declared schemas: no footer is read to plan a query.
+SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
 _SPARK_K = "CAST(get_json_object(props, '$.k') AS INT)"
 _SQL_K = "CAST(json_extract_string(props, '$.k') AS INT)"
 
@@ -362,7 +379,7 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BINDINGS:
