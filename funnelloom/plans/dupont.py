@@ -57,9 +57,10 @@ def dupont_daily(
 def period_over_period(daily: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Sums per channel for the N days that end on the country's last day with data
     and for the N days before."""
-    last = daily.groupBy("country").agg(F.max("dia").alias("last_day"))
-    # One row per country.
-    aged = daily.join(F.broadcast(last), "country").withColumn("age", F.datediff("last_day", "dia"))
+    # A window keeps the daily table from being computed twice. Its rows are aggregates:
+    # at most one per day of the look-back and channel.
+    last = F.max("dia").over(Window.partitionBy("country"))
+    aged = daily.withColumn("age", F.datediff(last, "dia"))
     sizes = F.explode(F.array(*[F.lit(n) for n in windows])).alias("n")
     rows = aged.select("*", sizes).where(F.col("age") < 2 * F.col("n"))
     now = F.col("age") < F.col("n")
