@@ -1,3 +1,3 @@
 """Import every catalogue module, which registers its queries."""
 
-from funnelloom.catalog import assigned, boards, channels, cohorts  # noqa: F401
+from funnelloom.catalog import assigned, boards, channels, cohorts, today  # noqa: F401

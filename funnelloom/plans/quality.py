@@ -163,9 +163,17 @@ def priority_mix_weekly(deals: DataFrame, as_of: dt.date, weeks: int = 18) -> Da
 
 def priority_grid(weekly: DataFrame) -> DataFrame:
     """Every week seen for every country, NULL where a country has no deals."""
-    both = F.explode(F.array(*[F.lit(c) for c in COUNTRY_NAMES])).alias("country")
-    grid = weekly.select("week").distinct().select("week", both)
-    return grid.join(weekly, ["week", "country"], "left")
+    metrics = ("n", "a", "b", "c")
+    cells = [
+        F.struct(
+            F.lit(c).alias("country"),
+            *[F.when(F.col("country") == c, F.col(m)).alias(m) for m in metrics],
+        )
+        for c in COUNTRY_NAMES
+    ]
+    # Every row also opens its week for the other country.
+    rows = weekly.select("week", F.inline(F.array(*cells)))
+    return rows.groupBy("week", "country").agg(*[F.sum(m).alias(m) for m in metrics])
 
 
 def priority_mix(weekly: DataFrame) -> DataFrame:
