@@ -318,6 +318,7 @@ _NAME_RULES = """CASE WHEN channel = 'WEB' OR channel LIKE 'WEB %' THEN 'WEB'
   WHEN channel LIKE 'Propiedades%' THEN 'Propiedades'
   WHEN lower(channel) LIKE 'comercial%' THEN 'Comercial' END"""
 VIEWS["by_channel"] = _BY_CHANNEL
+VIEWS["by_source"] = _BY_SOURCE
 
 
 @query(

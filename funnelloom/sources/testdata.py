@@ -13,6 +13,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from funnelloom.sources.target_sheet import sample_sheet
+
 # Reference day of the order-based tables, and reference instant of the event-based ones.
 AS_OF = dt.date(2001, 8, 1)
 WEB_AS_OF = dt.date(2024, 1, 30)
@@ -323,6 +325,25 @@ BINDINGS: dict[str, tuple[str, dict[str, str], str | None]] = {
         },
         None,
     ),
+    "sheet_text": (
+        "orders",
+        {
+            "row_no": "o_orderkey",
+            "number_text": "CASE o_orderkey % 8 WHEN 0 THEN '#N/A' WHEN 1 THEN '-' WHEN 2 THEN '' "
+            "WHEN 3 THEN concat(CAST(o_custkey AS STRING), '%') "
+            "WHEN 4 THEN concat(CAST(1 + o_custkey AS STRING), '.', "
+            "lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0')) "
+            "WHEN 5 THEN concat(CAST(o_custkey AS STRING), ',', CAST(o_orderkey % 10 AS STRING)) "
+            "WHEN 6 THEN ' #REF! ' ELSE concat('  ', CAST(o_custkey AS STRING), ' ') END",
+            "date_text": "CASE o_orderkey % 5 WHEN 0 THEN '31/02/2001' WHEN 1 THEN 'pendiente' "
+            "ELSE concat(lpad(CAST(extract(day FROM o_orderdate) AS STRING), 2, '0'), '/', "
+            "lpad(CAST(extract(month FROM o_orderdate) AS STRING), 2, '0'), '/', "
+            "CAST(extract(year FROM o_orderdate) AS STRING)) END",
+            "first_day": "CAST(o_orderdate AS DATE)",
+            "last_day": "CAST(o_orderdate AS DATE) + 6",
+        },
+        None,
+    ),
     "profiles": (
         "orders",
         {
@@ -397,6 +418,10 @@ class Tables:
         """Both tracks in one log, told apart by ``track``."""
         return self.state_log_mm.unionByName(self.state_log_inmo)
 
+    @property
+    def target_sheet(self) -> DataFrame:
+        return sample_sheet(self.leads, AS_OF)
+
 
 @lru_cache(maxsize=None)
 def oracle_view(name: str) -> str:
