@@ -423,6 +423,22 @@ class Tables:
         return sample_sheet(self.leads, AS_OF)
 
 
+def stream_of(tables: Tables, name: str) -> DataFrame:
+    """A canonical table as a stream over the same file."""
+    table, columns, condition = BINDINGS[name]
+    # The glob keeps the folder's other tables out of the stream.
+    df = (
+        tables.spark.readStream.schema(SCHEMAS[table])
+        .option("pathGlobFilter", f"{table}.parquet")
+        .parquet(tables.folder)
+    )
+    if condition:
+        df = df.where(condition)
+    return df.selectExpr(
+        *[f"{sql.replace('{K}', _SPARK_K)} AS {col}" for col, sql in columns.items()]
+    )
+
+
 @lru_cache(maxsize=None)
 def oracle_view(name: str) -> str:
     """The same projection as SQL text for the oracle."""
