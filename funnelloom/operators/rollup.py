@@ -100,3 +100,10 @@ def cohort_by_grain(
         .agg(*[F.min(n).alias(n) for n in names], F.sum("t").alias("t"), *sums)
     )
     return latest_buckets(out).withColumn("p", grain_label())
+
+
+def latest_periods(df: DataFrame, day: str = "created", n: int = LATEST_BUCKETS) -> DataFrame:
+    """The latest ``n`` distinct buckets per grain; all of them for years. Distinct days
+    come first, so the ranked table is never larger than the calendar."""
+    days = df.select(day).where(F.col(day).isNotNull()).distinct()
+    return latest_buckets(explode_grains(days, day, ()).distinct(), n)
