@@ -57,16 +57,16 @@ def unpivot_blocks(rows: DataFrame, strip_commas: bool = False) -> DataFrame:
         cells = []
         for i, name in enumerate(spec.sheet_blocks):
             at = SHEET_FIRST_OFFSET + SHEET_BLOCK * i
-            values = [
-                parse_latam_number(F.try_element_at("cells", F.lit(at + k + 1)), strip_commas).alias(v)
-                for k, v in enumerate(VALUES)
-            ]
-            inside = F.size("cells") > at + len(VALUES) - 1
-            cells.append(F.when(inside, F.struct(F.lit(name).alias("source"), *values)))
-        return F.array_compact(F.array(*cells))
+            values = ", ".join(
+                f"'{v}', try_element_at(nums, {at + k + 1})" for k, v in enumerate(VALUES)
+            )
+            inside = f"size(nums) > {at + len(VALUES) - 1}"
+            cells.append(f"IF({inside}, named_struct('source', '{name}', {values}), NULL)")
+        return F.expr(f"array_compact(array({', '.join(cells)}))")
 
     kept = ("country", "row_no", "section", "period", "from", "to")
-    return rows.select(*kept, F.inline(per_country(blocks)))
+    numbers = F.transform("cells", lambda c: parse_latam_number(c, strip_commas)).alias("nums")
+    return rows.select(*kept, numbers).select(*kept, F.inline(per_country(blocks)))
 
 
 def targets_from_sheet(sheet: DataFrame) -> DataFrame:

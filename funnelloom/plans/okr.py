@@ -126,12 +126,11 @@ def weekly_with_targets(weekly: DataFrame, sheet: DataFrame) -> DataFrame:
         shown = [s for s in spec.sheet_blocks if s not in ("TOTAL", "Perfo")]
         out = []
         for s in (*shown, "TOTAL", "Perfo"):
-            mine = F.col("source") == s
-            empty = F.lit(0 if s in shown else None).cast("long")
-            values = [F.when(mine, F.col(m)).otherwise(empty).alias(m) for m in metrics]
-            money = F.when(mine, F.col("spend").cast("long")).alias("spend")
-            out.append(F.struct(F.lit(s).alias("source"), *values, money))
-        return F.array(*out)
+            empty = "0L" if s in shown else "CAST(NULL AS BIGINT)"
+            values = ", ".join(f"'{m}', IF(source = '{s}', {m}, {empty})" for m in metrics)
+            money = f"'spend', CAST(IF(source = '{s}', spend, NULL) AS BIGINT)"
+            out.append(f"named_struct('source', '{s}', {values}, {money})")
+        return F.expr(f"array({', '.join(out)})")
 
     grid = weekly.select("country", "week_start", F.inline(per_country(cells)))
     rows = grid.groupBy("country", "week_start", "source").agg(

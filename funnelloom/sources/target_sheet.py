@@ -95,14 +95,13 @@ def sample_sheet(leads: DataFrame, as_of: dt.date) -> DataFrame:
         .groupBy("country", "g", "start")
         .agg(F.map_from_entries(F.collect_list(F.struct("block", "four"))).alias("by_block"))
     )
-    gap = F.array(*[F.lit("")] * (SHEET_BLOCK - 4))
-    empty = F.array(*[F.lit("")] * 4)
 
     def all_blocks(spec):
-        parts = []
-        for name in spec.sheet_blocks:
-            parts += [F.coalesce(F.col("by_block").getItem(name), empty), gap]
-        return F.concat(*parts)
+        parts = [
+            f"coalesce(by_block['{name}'], array_repeat('', 4)), array_repeat('', {SHEET_BLOCK - 4})"
+            for name in spec.sheet_blocks
+        ]
+        return F.expr(f"concat({', '.join(parts)})")
 
     start = F.col("start")
     lengths = {"D": "start", "W": "date_add(start, 6)", "C": "date_add(start, 6)"}
@@ -129,20 +128,15 @@ def sample_sheet(leads: DataFrame, as_of: dt.date) -> DataFrame:
                 F.lit(""),
                 F.date_format(F.expr(end), "dd/MM/yyyy"),
             ),
-            F.array(*[F.lit("")] * lead_in),
+            F.expr(f"array_repeat('', {lead_in})"),
             per_country(all_blocks),
         ).alias("cells"),
     )
-    titles = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(1000 * (i + 1)).cast("long").alias("row_no"),
-                    F.array(F.lit(title), *[F.lit("")] * 62).alias("cells"),
-                )
-                for i, (title, _) in enumerate(SECTIONS)
-            ]
-        )
+    width = SHEET_FIRST_OFFSET + SHEET_BLOCK * 8
+    titles = ", ".join(
+        f"named_struct('row_no', {1000 * (i + 1)}L, 'cells', "
+        f"concat(array('{title}'), array_repeat('', {width - 1})))"
+        for i, (title, _) in enumerate(SECTIONS)
     )
-    heads = per_period.select("country").distinct().select("country", titles)
+    heads = per_period.select("country").distinct().selectExpr("country", f"inline(array({titles}))")
     return body.unionByName(heads)
