@@ -17,6 +17,7 @@ from funnelloom.functions.text import (
     source_from_channel_name,
 )
 from funnelloom.operators.events import dedup_first
+from funnelloom.operators.joins import left_join_spread
 from funnelloom.spec import COUNTRIES
 
 
@@ -39,7 +40,8 @@ def per_country(build) -> Column:
 
 def attach_channel(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``channel`` to rows that carry ``source_name`` and ``campaign``."""
-    joined = counts.join(dictionary_by(dictionary, "campaign_original"), "campaign", "left")
+    known = dictionary_by(dictionary, "campaign_original")
+    joined = left_join_spread(counts, known, ("campaign",), "campaign")
     channel = resolve_channel(F.col("source_name"), F.col("campaign"), F.col("channel_medium"))
     return joined.withColumn("channel", channel)
 

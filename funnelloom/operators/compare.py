@@ -51,18 +51,15 @@ def week_vs_prev_and_avg(df: DataFrame, keys: Sequence[str], week: str, value: s
 def top_with_other(df: DataFrame, keys: Sequence[str], name: str, value: str, n: int, other: str) -> DataFrame:
     """Sums per key and name, where names outside the top n by total become ``other``.
 
-    Totals tie-break by name. Only one total per name is ranked.
+    Totals tie-break by name. The top is a table of at most n rows, which is what
+    allows the broadcast.
     """
     total = df.groupBy(F.col(name).alias("__name")).agg(F.sum(value).alias("__total"))
-    order = Window.orderBy(F.desc("__total"), F.asc_nulls_last("__name"))
-    ranked = total.withColumn("__rank", F.row_number().over(order))
-    shown = F.when(F.col("__rank") <= n, F.col("__name")).otherwise(F.lit(other))
-    names = ranked.select("__name", shown.alias("__shown"))
-    return (
-        df.join(names, F.col(name).eqNullSafe(F.col("__name")))
-        .groupBy(*keys, F.col("__shown").alias(name))
-        .agg(F.sum(value).alias(value))
-    )
+    top = total.orderBy(F.desc("__total"), F.asc_nulls_last("__name")).limit(n)
+    top = top.select("__name", F.lit(True).alias("__top"))
+    joined = df.join(F.broadcast(top), F.col(name).eqNullSafe(F.col("__name")), "left")
+    shown = F.when(F.col("__top"), F.col(name)).otherwise(F.lit(other))
+    return joined.groupBy(*keys, shown.alias(name)).agg(F.sum(value).alias(value))
 
 
 def period_summary(df: DataFrame, keys: Sequence[str], bucket: str, value: str) -> DataFrame:

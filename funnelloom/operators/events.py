@@ -137,6 +137,25 @@ def transition_summary(log: DataFrame) -> DataFrame:
     )
 
 
+def deal_transitions(log: DataFrame) -> DataFrame:
+    """``transition_summary`` and the current state from one pass over the first track.
+    Deals that never waited are present with their state only."""
+    inc = ", ".join(str(s) for s in WAITING_INCOMPLETE)
+    rev = ", ".join(str(s) for s in WAITING_REVIEW)
+    return (
+        log.where("deal_id IS NOT NULL AND track = 'mm'")
+        .groupBy(*DEAL)
+        .agg(
+            F.expr(f"max(IF(state_id IN ({inc}), 1, 0)) AS ever_inc"),
+            F.expr(f"max(IF(state_id IN ({rev}), 1, 0)) AS ever_rev"),
+            F.expr(f"min(ts) FILTER (WHERE state_id IN ({inc})) AS first_inc"),
+            F.expr(f"min(ts) FILTER (WHERE state_id IN ({rev})) AS first_rev"),
+            F.expr(f"max(ts) FILTER (WHERE state_id = {REQUALIFIED}) AS last_20"),
+            F.expr(f"CAST(max({_ORDER}) % 1024 AS INT) AS state_id"),
+        )
+    )
+
+
 def rescued_after(first_entry: Column, last_qualified: Column) -> Column:
     """Qualified strictly after the first entry to the waiting state."""
     return F.coalesce(last_qualified > first_entry, F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelloom.functions.text import eligible_state, normalise_text, safe_cast_int
+from funnelloom.operators.joins import left_join_spread
 from funnelloom.spec import (
     ALL_ON,
     BLOCKED_OWNERS,
@@ -70,33 +71,33 @@ def resolve_owner(rows: DataFrame, owners: DataFrame) -> DataFrame:
     names = owners.where(F.col("secondary_id").isNotNull()).select(
         F.col("secondary_id").cast("string").alias("owner_id"), "email"
     )
-    joined = rows.join(names, "owner_id", "left")
+    joined = left_join_spread(rows, names, ("owner_id",), "owner_id")
     return joined.withColumn("owner_email", F.lower(F.coalesce("email", "owner_id"))).drop("email")
 
 
 # --- thirteen rules ------------------------------------------------------------------
 def eligibility_flags_13() -> dict[str, Column]:
-    """Rules F3 to F15 over rows that carry the owner e-mail, deal and lead attributes.
-    F15 has no source and always passes."""
+    """Rules F3 to F15 over rows that carry the owner e-mail, the deal state and whether
+    there is a contact, a passing rating, a price check, a lead date and a lead. F15 has
+    no source and always passes."""
     owner = F.col("owner_email")
     shared = F.lit(False)
     for word in SHARED_MAILBOX_WORDS:
         shared = shared | owner.like(f"%{word}%")
-    state = F.lower(F.trim("deal_state"))
-    rating = F.coalesce(F.lower(F.trim("rating")), F.lit(""))
+    state = F.col("deal_state")
     flags = (
         owner.like(f"%{OWNER_STEM}%"),
         ~shared,
         ~owner.isin(*BLOCKED_OWNERS),
-        ~owner.isin(*CONDITIONAL_OWNERS) | F.col("digital_contact").isNotNull(),
+        ~owner.isin(*CONDITIONAL_OWNERS) | F.col("has_contact"),
         state == "sin pricing incial",
         state == "no gestionado",
         state == "cierre",
         state == "no hay suficientes datos para comparar",
-        ~rating.isin(*EXCLUDED_RATINGS),
-        F.col("priced") == 1,
-        F.col("created_at").isNotNull(),
-        F.col("lead_asset").isNotNull(),
+        F.col("rating_ok"),
+        F.col("price_ok"),
+        F.col("dated"),
+        F.col("has_lead"),
         F.lit(True),
     )
     return {name: _flag(test) for name, test in zip(FLAGS_13, flags)}
@@ -127,14 +128,23 @@ def mask_universe_grouped_or(masks: DataFrame, keys: Sequence[str], required: in
 def mask_marginal_effect(masks: DataFrame, keys: Sequence[str], required: int) -> DataFrame:
     """Change of the universe when one filter is flipped, for every filter, from a
     single pass over the mask table."""
+    return marginal_rows(marginal_sums(masks, keys, required), keys, required)
+
+
+def marginal_sums(masks: DataFrame, keys: Sequence[str], required: int) -> DataFrame:
+    """The universe and the one after each flip, side by side."""
 
     def universe(req: int) -> Column:
         return F.sum(F.when(passes_grouped(F.col("m"), req), F.col("n")).otherwise(0))
 
-    wide = masks.groupBy(*keys).agg(
+    return masks.groupBy(*keys).agg(
         universe(required).alias("base"),
         *[universe(required ^ (1 << i)).alias(name) for i, name in enumerate(FLAGS_13)],
     )
+
+
+def marginal_rows(wide: DataFrame, keys: Sequence[str], required: int) -> DataFrame:
+    """One row per filter."""
     rows = [
         F.struct(
             F.lit(name).alias("filter"),

@@ -17,7 +17,8 @@ from funnelloom.operators.masks import (
     eligibility_flags_13,
     ever_owner,
     lead_flags,
-    mask_marginal_effect,
+    marginal_rows,
+    marginal_sums,
     owner_flag,
     pack_bitmask,
     resolve_owner,
@@ -25,6 +26,7 @@ from funnelloom.operators.masks import (
 from funnelloom.operators.scans import mart_country_code
 from funnelloom.spec import (
     ALL_ON,
+    EXCLUDED_RATINGS,
     FLAGS_5,
     FLAGS_13,
     LABEL_EXPLORER_OTHER,
@@ -103,21 +105,32 @@ def explorer_rows(
     changes: DataFrame, owners: DataFrame, deal_info: DataFrame, leads: DataFrame, log: DataFrame,
     as_of: dt.date, offset: int = -5, days: int = DAYS,
 ) -> DataFrame:
-    """One row per first assignment and lead of its asset, with the thirteen flags."""
+    """First assignments with each lead of their asset, counted per day, source,
+    qualification and the thirteen flags.
+
+    Leads are counted per asset and attribute before the join, so an asset with very
+    many leads becomes as many rows as it has attribute combinations. Owners are
+    resolved on the counts, where a busy owner is a few rows rather than most of them.
+    """
     first = first_change_per_asset(changes).withColumn("d", local_date(F.col("changed_at"), offset))
-    first = first.where(F.col("d") >= F.lit(lookback_start(as_of, days)))
-    with_owner = resolve_owner(first, owners)
+    first = first.where(F.col("d") >= F.lit(lookback_start(as_of, days))).drop("changed_at")
     deals = deal_info.select(
-        "asset_id", F.col("state_text").alias("deal_state"), "digital_contact"
+        "asset_id",
+        F.lower(F.trim("state_text")).alias("deal_state"),
+        F.col("digital_contact").isNotNull().alias("has_contact"),
     )
-    # Leads are counted per asset and attribute first: an asset with very many leads
-    # becomes as many rows as it has attribute combinations.
+    rating = F.coalesce(F.lower(F.trim("rating")), F.lit(""))
+    label = F.coalesce(label_source(F.col("source_id"), LABELS_EXPLORER), F.lit(LABEL_EXPLORER_OTHER))
     facts = (
         leads.where(F.col("asset_id").isNotNull())
-        .groupBy("asset_id", "source_id", "rating", "priced", F.col("created_at").isNotNull().alias("dated"))
+        .groupBy(
+            "asset_id",
+            label.alias("f"),
+            (~rating.isin(*EXCLUDED_RATINGS)).alias("rating_ok"),
+            F.coalesce(F.col("priced") == 1, F.lit(False)).alias("price_ok"),
+            F.col("created_at").isNotNull().alias("dated"),
+        )
         .agg(F.count("*").alias("n"))
-        .withColumn("lead_asset", F.col("asset_id"))
-        .withColumn("created_at", F.when(F.col("dated"), F.lit(1)))
     )
     qualified = (
         scan_state_log(log, QUALIFIED_MM, "mm")
@@ -126,18 +139,26 @@ def explorer_rows(
         .withColumn("c", F.lit(1))
     )
     rows = (
-        with_owner.join(deals, "asset_id", "left")
+        first.join(deals, "asset_id", "left")
         .join(facts, "asset_id", "left")
         .join(qualified, "asset_id", "left")
     )
-    label = F.coalesce(label_source(F.col("source_id"), LABELS_EXPLORER), F.lit(LABEL_EXPLORER_OTHER))
-    return rows.select(
+    no = F.lit(False)
+    counts = rows.groupBy(
         "d",
         F.coalesce("c", F.lit(0)).alias("c"),
-        label.alias("f"),
-        F.coalesce("n", F.lit(1)).alias("n"),
-        *[flag.alias(name) for name, flag in eligibility_flags_13().items()],
-    )
+        F.coalesce("f", F.lit(LABEL_EXPLORER_OTHER)).alias("f"),
+        "owner_id",
+        "deal_state",
+        F.coalesce("has_contact", no).alias("has_contact"),
+        # Without a lead its rating is missing, which passes.
+        F.coalesce("rating_ok", F.lit(True)).alias("rating_ok"),
+        F.coalesce("price_ok", no).alias("price_ok"),
+        F.coalesce("dated", no).alias("dated"),
+        F.col("n").isNotNull().alias("has_lead"),
+    ).agg(F.sum(F.coalesce("n", F.lit(1))).alias("n"))
+    flags = [flag.alias(name) for name, flag in eligibility_flags_13().items()]
+    return resolve_owner(counts, owners).select("d", "c", "f", "n", *flags)
 
 
 def explorer_masks(rows: DataFrame) -> DataFrame:
@@ -146,8 +167,11 @@ def explorer_masks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("d", m.alias("m"), "c", "f").agg(F.sum("n").alias("n"))
 
 
-def filter_effects(masks: DataFrame, as_of: dt.date, required: int = ALL_ON) -> DataFrame:
-    """Marginal effect of every filter in every complete week."""
+def filter_effects(masks: DataFrame, as_of: dt.date, required: int = ALL_ON, latest: bool = False) -> DataFrame:
+    """Marginal effect of every filter in every complete week, or in the latest one."""
     weekly = masks.withColumn("week", iso_week_start(F.col("d")))
     closed = weekly.where(F.col("week") < iso_week_start(F.lit(as_of)))
-    return mask_marginal_effect(closed, ["week"], required)
+    wide = marginal_sums(closed, ["week"], required)
+    if latest:
+        wide = wide.orderBy(F.desc("week")).limit(1)
+    return marginal_rows(wide, ["week"], required)

@@ -81,7 +81,7 @@ def hour_matrix(long: DataFrame, now_utc: dt.datetime) -> DataFrame:
         return F.coalesce(F.sum(F.when(age.isin(*ages), F.col("n"))), F.lit(0))
 
     sums = long.where(age.isin(0, 7, *AVERAGE_OFFSETS)).groupBy("country", "metric", "source", "hour")
-    filled = F.broadcast(axis).join(
+    filled = axis.join(
         sums.agg(on(0).alias("now"), on(7).alias("prev"), on(*AVERAGE_OFFSETS).alias("four")),
         ["country", "metric", "source", "hour"],
         "left",

@@ -14,9 +14,9 @@ from funnelloom.operators.events import (
     ASSET,
     DEAL,
     deal_summary,
+    deal_transitions,
     first_assignment,
     latest_state,
-    transition_summary,
 )
 from funnelloom.operators.joins import left_join_spread
 from funnelloom.operators.rollup import cohort_by_grain, count_by_grain
@@ -133,8 +133,7 @@ TRANSITION_METRICS = _waiting_metrics("inc", WAITING_INCOMPLETE) | _waiting_metr
 
 def transition_multi_grain(leads: DataFrame, log: DataFrame, as_of: dt.date) -> DataFrame:
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
-    # Both tables are grouped by deal, so one shuffle of the leads serves both joins.
-    per_deal = transition_summary(log).join(latest_state(log), list(DEAL), "full_outer")
+    per_deal = deal_transitions(log)
     metrics = TRANSITION_METRICS
     out = cohort_by_grain(left_join_spread(base, per_deal, DEAL, "deal_id"), metrics)
     return out.select(
