@@ -436,7 +436,7 @@ def sum_spend_rounded(t):
 def join_dictionary(t):
     rows = t.leads.select("deal_id", "country", "campaign")
     known = channels.dictionary_by(t.dictionary, "campaign_original")
-    return joins.left_join_spread(rows, known, ["campaign"], "campaign")
+    return joins.left_join_spread(rows, known, on=["campaign"], nullable="campaign")
 
 
 @query(

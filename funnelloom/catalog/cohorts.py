@@ -78,7 +78,7 @@ kept AS (
 def cohort_weekly(t):
     base = scan_leads(t.leads, AS_OF).select("country", "deal_id", "source_id", "created")
     first = events.first_event_date(t.state_log_mm, (20, 63))
-    rows = left_join_spread(base, first, events.DEAL, "deal_id")
+    rows = left_join_spread(base, first, on=events.DEAL, nullable="deal_id")
     return rows.groupBy(
         "country", "source_id", iso_week_start(F.col("created")).cast("string").alias("week")
     ).agg(F.count("*").alias("reg"), F.count("first_date").alias("cal"))

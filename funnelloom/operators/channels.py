@@ -41,7 +41,7 @@ def per_country(build) -> Column:
 def attach_channel(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``channel`` to rows that carry ``source_name`` and ``campaign``."""
     known = dictionary_by(dictionary, "campaign_original")
-    joined = left_join_spread(counts, known, ("campaign",), "campaign")
+    joined = left_join_spread(counts, known, on=("campaign",), nullable="campaign")
     channel = resolve_channel(F.col("source_name"), F.col("campaign"), F.col("channel_medium"))
     return joined.withColumn("channel", channel)
 

@@ -17,32 +17,33 @@ def _filler(df: DataFrame, key: str) -> Column:
     return spread
 
 
-def left_join_spread(left: DataFrame, right: DataFrame, on: Sequence[str], nullable: str) -> DataFrame:
-    """Left join on ``on`` in which rows with a NULL ``nullable`` key do not all meet
-    in one task.
+def left_join_spread(left: DataFrame, *rights: DataFrame, on: Sequence[str], nullable: str) -> DataFrame:
+    """Left joins on ``on`` in which rows with a NULL ``nullable`` key do not all meet
+    in one task. Several right sides share one placement of the left rows.
 
     Such rows match nothing. They get a hashed stand-in key for the shuffle only;
     the extra condition keeps the stand-in from ever matching. Frequent non-NULL
     keys of the left side are left to AQE, which can split them because the right
     side is not duplicated by that.
     """
-    renamed = right.select(
-        *[F.col(k).alias(f"__r_{k}") for k in on],
-        *[F.col(c) for c in right.columns if c not in on],
-    )
-    spread = left.withColumn("__key", F.coalesce(F.col(nullable), _filler(left, nullable)))
-    test = spread[nullable].isNotNull()
-    for k in on:
-        mine = spread["__key"] if k == nullable else spread[k]
-        test = test & (mine == renamed[f"__r_{k}"])
-    joined = spread.join(renamed, test, "left")
-    return joined.drop("__key", *[f"__r_{k}" for k in on])
+    out = left.withColumn("__key", F.coalesce(F.col(nullable), _filler(left, nullable)))
+    for right in rights:
+        renamed = right.select(
+            *[F.col(k).alias(f"__r_{k}") for k in on],
+            *[F.col(c) for c in right.columns if c not in on],
+        )
+        test = F.col(nullable).isNotNull()
+        for k in on:
+            mine = F.col("__key" if k == nullable else k)
+            test = test & (mine == F.col(f"__r_{k}"))
+        out = out.join(renamed, test, "left").drop(*[f"__r_{k}" for k in on])
+    return out.drop("__key")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], nullable: str) -> DataFrame:
     """Rows of ``left`` without partner; NULL-keyed rows are kept and spread."""
     keys = right.select(*on).distinct().withColumn("__hit", F.lit(True))
-    return left_join_spread(left, keys, on, nullable).where(F.col("__hit").isNull()).drop("__hit")
+    return left_join_spread(left, keys, on=on, nullable=nullable).where(F.col("__hit").isNull()).drop("__hit")
 
 
 def fan_out_counts(

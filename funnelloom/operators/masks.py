@@ -71,7 +71,7 @@ def resolve_owner(rows: DataFrame, owners: DataFrame) -> DataFrame:
     names = owners.where(F.col("secondary_id").isNotNull()).select(
         F.col("secondary_id").cast("string").alias("owner_id"), "email"
     )
-    joined = left_join_spread(rows, names, ("owner_id",), "owner_id")
+    joined = left_join_spread(rows, names, on=("owner_id",), nullable="owner_id")
     return joined.withColumn("owner_email", F.lower(F.coalesce("email", "owner_id"))).drop("email")
 
 

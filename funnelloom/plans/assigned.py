@@ -66,7 +66,7 @@ def eligibility_counts(leads: DataFrame, owners: DataFrame, mart: DataFrame, as_
     left then is one row per owner and flag combination of a day.
     """
     keys = mart_keys(mart).withColumn("__hit", F.lit(True))
-    rows = left_join_spread(flagged_leads(leads, as_of), keys, ("country", "asset_id"), "asset_id")
+    rows = left_join_spread(flagged_leads(leads, as_of), keys, on=("country", "asset_id"), nullable="asset_id")
     own = [f for f in FLAGS_5 if f != "pf_owner"]
     counts = rows.groupBy(
         "country", "d", "f", "owner_id", "ever_owner", *own, F.col("__hit").isNotNull().alias("in_mart")

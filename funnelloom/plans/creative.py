@@ -60,11 +60,12 @@ def creative_cohort(
         & F.col("asset_id").isNotNull()
     ).select(*DEAL, "asset_id", F.to_date("created_at").alias("d"), "campaign")
     base = base.join(paid_campaigns(dictionary), "campaign").drop("campaign")
-    mine = creative_deals(deal_utm, creative).withColumn("__mine", F.lit(1))
-    base = left_join_spread(base, mine, ("deal_id",), "deal_id")
+    mine = creative_deals(deal_utm, creative).select(
+        F.lit(country).alias("country"), "deal_id", F.lit(1).alias("__mine")
+    )
     one_country = log.where(F.col("country") == country)
     dates = deal_summary(one_country).select(*DEAL, "mm_date", "inmo_date")
-    base = left_join_spread(base, dates, DEAL, "deal_id")
+    base = left_join_spread(base, mine, dates, on=DEAL, nullable="deal_id")
     stages = stage_dates(stage_log.where(F.col("country") == country))
     return base.join(stages, "asset_id", "left").withColumn(
         "is_creative", F.col("__mine").isNotNull()

@@ -33,7 +33,7 @@ def leads_by_channel(leads: DataFrame, log: DataFrame, dictionary: DataFrame, as
     """Registrations per day and channel, and how many of them ever qualified."""
     base = scan_leads(leads, as_of, first=lookback_start(as_of, days))
     base = base.select(*DEAL, "created", "source_name", "campaign")
-    rows = left_join_spread(base, first_event(log, QUALIFIED_MM, "mm"), DEAL, "deal_id")
+    rows = left_join_spread(base, first_event(log, QUALIFIED_MM, "mm"), on=DEAL, nullable="deal_id")
     counts = rows.groupBy("country", F.col("created").alias("dia"), "source_name", "campaign").agg(
         F.count("*").alias("reg"), F.count("first_at").alias("cal")
     )

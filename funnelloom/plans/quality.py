@@ -50,7 +50,7 @@ def price_presence(counts: DataFrame, deals: DataFrame, keys: Sequence[str]) ->
     asset, so an asset adds leads times deals; a lead without deal is one row without
     price. Both sides are counted before the join, so no pair is ever formed.
     """
-    joined = left_join_spread(counts, price_counts(deals), ("asset_id",), "asset_id")
+    joined = left_join_spread(counts, price_counts(deals), on=("asset_id",), nullable="asset_id")
     lone = F.when(F.col("__with").isNull(), F.lit(1)).otherwise(F.col("__without"))
     return joined.groupBy(*keys).agg(
         F.sum(F.col("n") * F.coalesce("__with", F.lit(0))).alias("with_price"),
@@ -124,7 +124,7 @@ def price_quality_states(
     rows = campaign_leads(leads, campaigns, first).select(
         *DEAL, "asset_id", "campaign", F.to_date("created_at").alias("d")
     )
-    with_state = left_join_spread(rows, latest_state(log), DEAL, "deal_id")
+    with_state = left_join_spread(rows, latest_state(log), on=DEAL, nullable="deal_id")
     counts = with_state.groupBy("d", "campaign", "state_id", "asset_id").agg(F.count("*").alias("n"))
     sums = price_presence(counts, deals, ["d", "campaign", "state_id"])
     named = sums.where(F.col("without_price") > 0).join(

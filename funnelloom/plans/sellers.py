@@ -40,8 +40,8 @@ def enrich_first_events(leads: DataFrame, log: DataFrame, stage_log: DataFrame,
     once by deal and once by asset.
     """
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
-    with_deal = left_join_spread(base, deal_summary(log), DEAL, "deal_id")
-    return left_join_spread(with_deal, first_assignment(stage_log), ASSET, "asset_id")
+    with_deal = left_join_spread(base, deal_summary(log), on=DEAL, nullable="deal_id")
+    return left_join_spread(with_deal, first_assignment(stage_log), on=ASSET, nullable="asset_id")
 
 
 SELLERS_METRICS = {
@@ -135,7 +135,7 @@ def transition_multi_grain(leads: DataFrame, log: DataFrame, as_of: dt.date) ->
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
     per_deal = deal_transitions(log)
     metrics = TRANSITION_METRICS
-    out = cohort_by_grain(left_join_spread(base, per_deal, DEAL, "deal_id"), metrics)
+    out = cohort_by_grain(left_join_spread(base, per_deal, on=DEAL, nullable="deal_id"), metrics)
     return out.select(
         "g",
         "start",

@@ -91,13 +91,13 @@ def chain_session_to_deal(
         lone.withColumn("backbone_uuid", F.lit(None).cast("string"))
     )
     hop = bridge.where(F.col("uuid").isNotNull()).select(F.col("uuid").alias("backbone_uuid"), "deal_uuid")
-    chain = left_join_spread(chain, hop, ["backbone_uuid"], "backbone_uuid")
+    chain = left_join_spread(chain, hop, on=["backbone_uuid"], nullable="backbone_uuid")
     known = deals.where(F.col("deal_uuid").isNotNull()).select("deal_uuid", "asset_id")
-    chain = left_join_spread(chain, known, ["deal_uuid"], "deal_uuid")
+    chain = left_join_spread(chain, known, on=["deal_uuid"], nullable="deal_uuid")
     days = leads.where(F.col("asset_id").isNotNull()).select(
         "asset_id", F.to_date("created_at").alias("d_lead")
     ).distinct()
-    return left_join_spread(chain, days, ["asset_id"], "asset_id")
+    return left_join_spread(chain, days, on=["asset_id"], nullable="asset_id")
 
 
 def chain_counts(chain: DataFrame) -> DataFrame:

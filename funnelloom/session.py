@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites in error messages cost a walk of the stack per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -119,7 +119,7 @@ def test_spread_left_join_equals_a_plain_left_join(spark):
         spark.createDataFrame([(None, -1)], "k long, w long")
     )
     plain = left.join(right, "k", "left").select("v", "k", "w")
-    spread = joins.left_join_spread(left, right, ["k"], "k").select("v", "k", "w")
+    spread = joins.left_join_spread(left, right, on=["k"], nullable="k").select("v", "k", "w")
     assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
     anti = joins.anti_join(left, right.select("k"), ["k"], "k")
     want = [r.v for r in plain.where("w IS NULL").collect()]
