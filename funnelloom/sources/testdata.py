@@ -392,6 +392,16 @@ _SPARK_K = "CAST(get_json_object(props, '$.k') AS INT)"
 _SQL_K = "CAST(json_extract_string(props, '$.k') AS INT)"
 
 
+def _project(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a sample table as a canonical table. The JSON key is read once per row."""
+    _, columns, condition = BINDINGS[name]
+    if condition:
+        df = df.where(condition)
+    if any("{K}" in sql for sql in columns.values()):
+        df = df.selectExpr("*", f"{_SPARK_K} AS __k")
+    return df.selectExpr(*[f"{sql.replace('{K}', '__k')} AS {col}" for col, sql in columns.items()])
+
+
 class Tables:
     """Lazy canonical tables over one folder of sample parquet files."""
 
@@ -405,13 +415,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BINDINGS:
             raise AttributeError(name)
-        table, columns, condition = BINDINGS[name]
-        df = self.raw(table)
-        if condition:
-            df = df.where(condition)
-        return df.selectExpr(
-            *[f"{sql.replace('{K}', _SPARK_K)} AS {col}" for col, sql in columns.items()]
-        )
+        return _project(self.raw(BINDINGS[name][0]), name)
 
     @property
     def state_log(self) -> DataFrame:
@@ -425,18 +429,14 @@ class Tables:
 
 def stream_of(tables: Tables, name: str) -> DataFrame:
     """A canonical table as a stream over the same file."""
-    table, columns, condition = BINDINGS[name]
+    table = BINDINGS[name][0]
     # The glob keeps the folder's other tables out of the stream.
     df = (
         tables.spark.readStream.schema(SCHEMAS[table])
         .option("pathGlobFilter", f"{table}.parquet")
         .parquet(tables.folder)
     )
-    if condition:
-        df = df.where(condition)
-    return df.selectExpr(
-        *[f"{sql.replace('{K}', _SPARK_K)} AS {col}" for col, sql in columns.items()]
-    )
+    return _project(df, name)
 
 
 @lru_cache(maxsize=None)
