@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from funnelloom.spec import GRAINS
 
 
-def as_date(value: dt.date | Column) -> Column:
-    return F.lit(value) if isinstance(value, dt.date) else value
-
-
 def start_of_day(day: dt.date) -> Column:
     """Day as a zoneless timestamp literal, so that raw timestamp columns can be
     compared without a cast and the bound reaches the file scan."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -38,10 +39,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """Fresh folder below the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names that folder; only where it is unset (tests on
-    one machine) a temporary one is made and remembered for the session.
+    one machine) a temporary one takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="funnelloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _temporary_base() -> str:
+    return tempfile.mkdtemp(prefix="funnelloom-")

@@ -19,7 +19,6 @@ from funnelloom.sources.target_sheet import sample_sheet
 AS_OF = dt.date(2001, 8, 1)
 WEB_AS_OF = dt.date(2024, 1, 30)
 NOW_UTC = dt.datetime(2024, 1, 30, 19, 30)
-INMO_START = dt.date(1998, 1, 1)
 CREATIVE_START = dt.date(2001, 6, 20)
 QUALITY_START = dt.date(2000, 1, 1)
 CREATIVE = "creative_one"
