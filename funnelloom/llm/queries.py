@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from funnelloom.llm import packing, rule_ledger, token_counts, token_files
+from funnelloom.llm import packing, rule_ledger, simhash, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -13,6 +14,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizer("word_bpe_49k.json"), size=2048, end_id=1)
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.components(table(spark, folder, "documents"), size=4, radius=4)
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs, cache = table(spark, folder, "documents"), shared_path(spark, "token-counts")
     return token_counts.count_tokens(docs, public_tokenizer("byte_bpe_50k.json"), cache, limit=1024)
@@ -37,6 +43,7 @@ def op10_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op10_rule_ledger": op10_rule_ledger,
