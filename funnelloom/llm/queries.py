@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import packing, rule_ledger, simhash, token_counts, token_files
+from funnelloom.llm import line_templates, packing, rule_ledger, simhash, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -30,6 +30,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(manifest)
 
 
+def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return line_templates.report(table(spark, folder, "documents"))
+
+
 def op10_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     book = rule_ledger.ledger(table(spark, folder, "documents"))
     contract = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -46,6 +50,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op9_line_templates": op9_line_templates,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
@@ -75,3 +80,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed & {rule_ledger.BASE.mask} <> 0 AS base_failed, failed & {rule_ledger.CURRENT.mask} = 0 AS kept, failed
 FROM f
 """
+
+_NORMAL = "regexp_replace(trim(regexp_replace({}, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g')"
+ORACLES["op9_line_templates"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT r, p, {_NORMAL.format("ls[p]")} AS line, CASE WHEN p > 1 THEN {_NORMAL.format("ls[p - 1]")} END AS before,
+             CASE WHEN p < len(ls) THEN {_NORMAL.format("ls[p + 1]")} END AS after
+      FROM (SELECT r, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
+t AS (SELECT *, string_split(line, ' ') AS ts FROM l WHERE len(string_split(line, ' ')) >= {line_templates.MIN_TOKENS}),
+f AS (SELECT *, concat_ws(' ', len(ts), array_to_string(ts[1:{line_templates.DEPTH}], ' ')) AS leaf FROM t
+      QUALIFY count(*) OVER (PARTITION BY len(ts), ts[1:{line_templates.DEPTH}]) >= {line_templates.MIN_DOCUMENTS}),
+x AS (SELECT r, p, leaf, a, ts[a] AS token,
+             count(*) OVER (PARTITION BY leaf, a, ts[a]) >= {line_templates.MIN_DOCUMENTS} AND ts[a] <> '<*>' AS fixed
+      FROM (SELECT *, unnest(range(1, len(ts) + 1)) AS a FROM f)),
+m AS (SELECT r, p, leaf, string_agg(CASE WHEN fixed THEN token ELSE '<*>' END, ' ' ORDER BY a) AS template FROM x
+      GROUP BY ALL HAVING sum(CAST(fixed AS INT)) >= {line_templates.FIXED_SHARE} * count(*)),
+g AS (SELECT leaf, template FROM m JOIN l USING (r, p) GROUP BY ALL
+      HAVING count(DISTINCT r) >= {line_templates.MIN_DOCUMENTS}
+         AND 2 * greatest(count(DISTINCT before), count(DISTINCT after)) >= count(DISTINCT r)),
+k AS (SELECT r, list(p) AS ps FROM m JOIN g USING (leaf, template) GROUP BY r)
+SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE CAST(len(ls) AS BIGINT) END AS n_lines,
+       CAST(coalesce(len(ps), 0) AS BIGINT) AS n_dropped,
+       CASE WHEN ps IS NULL THEN text
+            ELSE array_to_string(list_filter(ls, lambda s, i: NOT list_contains(ps, i)), chr(10)) END AS text
+FROM d LEFT JOIN k USING (r)
+"""
