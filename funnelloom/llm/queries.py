@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import line_templates, packing, rule_ledger, simhash, token_counts, token_files
+from funnelloom.llm import decontaminate, line_templates, packing, rule_ledger, simhash, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -14,6 +14,10 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizer("word_bpe_49k.json"), size=2048, end_id=1)
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.components(table(spark, folder, "documents"), size=4, radius=4)
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
@@ -47,6 +51,7 @@ def op10_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
