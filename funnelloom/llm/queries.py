@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import decontaminate, line_templates, packing, rule_ledger, simhash, token_counts, token_files
+from funnelloom.llm import decontaminate, line_templates, packing, rule_ledger, simhash, suffix_dedup, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -34,6 +34,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(manifest)
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, folder, "documents"))
+
+
 def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.report(table(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_line_templates": op9_line_templates,
     "op10_rule_ledger": op10_rule_ledger,
 }
