@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import decontaminate, line_templates, packing, rule_ledger, simhash, suffix_dedup, token_counts, token_files
+from funnelloom.llm import decontaminate, line_templates, packing, quality_nbsvm, rule_ledger, simhash, suffix_dedup, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -38,6 +38,11 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, folder, "documents"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_nbsvm.score(docs, quality_nbsvm.fit(docs, table(spark, folder, "labels")), threshold=0.7)
+
+
 def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.report(table(spark, folder, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_quality": op8_quality,
     "op9_line_templates": op9_line_templates,
     "op10_rule_ledger": op10_rule_ledger,
 }
