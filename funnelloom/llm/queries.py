@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import decontaminate, line_templates, packing, quality_nbsvm, rule_ledger, simhash, suffix_dedup, token_counts, token_files
+from funnelloom.llm import decontaminate, html_text, line_templates, packing, quality_nbsvm, rule_ledger, simhash, suffix_dedup, token_counts, token_files
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -34,6 +34,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(manifest)
 
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, folder, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op6_html_text": op6_html_text,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality": op8_quality,
     "op9_line_templates": op9_line_templates,
