@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from funnelloom.llm.common import stored
 
-DEPTH = 2  # leading tokens that make the leaf
+DEPTH = 3  # leading tokens that make the leaf
 MIN_TOKENS = 3
 MIN_DOCUMENTS = 10
 FIXED_SHARE = 0.7
@@ -40,7 +40,10 @@ _WILD = "<*>"
 
 def _normal(line: Column) -> Column:
     """Single spaces; tokens with a digit become variables."""
-    spaced = F.when(line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"), F.btrim(F.regexp_replace(line, _SPACE, " "))).otherwise(line)
+    uneven = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for text in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        uneven |= F.contains(line, F.lit(text))
+    spaced = F.when(uneven, F.btrim(F.regexp_replace(line, _SPACE, " "))).otherwise(line)
     return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ 0-9]*+[0-9][^ ]*+", _WILD)).otherwise(spaced)
 
 
@@ -58,22 +61,25 @@ def _keys() -> list[Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row of hashes per line that is long enough for a template."""
-    normal = F.transform(F.split("text", "\n"), _normal)
-    hashes = F.transform("normal", lambda n: F.struct(F.xxhash64(n).alias("line"), _leaf(n).alias("leaf"), _size(n).alias("size")))
-    rows = docs.select(*_keys(), normal.alias("normal")).select("k1", "k2", hashes.alias("h"))
+    """A row of hashes per line that is long enough for a template.
+
+    Only the neighbours' hashes are made inside arrays; the rest is done on the line's
+    own row, where Spark compiles it.
+    """
+    split = docs.where("text IS NOT NULL").select(*_keys(), F.split("text", "\n").alias("raw"))
+    hashed = split.withColumn("h", F.transform("raw", lambda x: F.xxhash64(x)))
     n = F.size("h")
     edge = F.array(F.lit(0).cast("long"))
     with_neighbours = F.arrays_zip(
-        F.col("h"),
-        F.concat(edge, F.slice(F.col("h.line"), F.lit(1), n - 1)).alias("before"),
-        F.concat(F.slice(F.col("h.line"), F.lit(2), n), edge).alias("after"),
+        F.col("raw"),
+        F.concat(edge, F.slice("h", F.lit(1), n - 1)).alias("before"),
+        F.concat(F.slice("h", F.lit(2), n), edge).alias("after"),
     )
     return (
-        rows.where("h IS NOT NULL")
-        .select("k1", "k2", F.posexplode(with_neighbours).alias("pos", "x"))
-        .where(F.col("x.h.size") >= MIN_TOKENS)
-        .select("k1", "k2", "pos", "x.h.line", "x.h.leaf", "x.before", "x.after")
+        hashed.select("k1", "k2", F.posexplode(with_neighbours).alias("pos", "x"))
+        .select("k1", "k2", "pos", _normal(F.col("x.raw")).alias("normal"), "x.before", "x.after")
+        .where(_size(F.col("normal")) >= MIN_TOKENS)
+        .select("k1", "k2", "pos", F.xxhash64("normal").alias("line"), _leaf(F.col("normal")).alias("leaf"), "before", "after")
     )
 
 

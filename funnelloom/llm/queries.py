@@ -105,8 +105,8 @@ FROM f
 _NORMAL = "regexp_replace(trim(regexp_replace({}, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g')"
 ORACLES["op9_line_templates"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT r, p, {_NORMAL.format("ls[p]")} AS line, CASE WHEN p > 1 THEN {_NORMAL.format("ls[p - 1]")} END AS before,
-             CASE WHEN p < len(ls) THEN {_NORMAL.format("ls[p + 1]")} END AS after
+l AS (SELECT r, p, {_NORMAL.format("ls[p]")} AS line, CASE WHEN p > 1 THEN ls[p - 1] END AS before,
+             CASE WHEN p < len(ls) THEN ls[p + 1] END AS after
       FROM (SELECT r, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
 t AS (SELECT *, string_split(line, ' ') AS ts FROM l WHERE len(string_split(line, ' ')) >= {line_templates.MIN_TOKENS}),
 f AS (SELECT *, concat_ws(' ', len(ts), array_to_string(ts[1:{line_templates.DEPTH}], ' ')) AS leaf FROM t
