@@ -15,6 +15,7 @@ empty table gives an empty ledger. Columns of the input other than the text are
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from funnelloom.llm.tokens import slices
 from funnelloom.llm.words import as_text, bytes_of, lines, window_ranks, words
 
+SLICE_BYTES = 3 << 20  # text measured at once; word lists of a slice take many times that
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"  # fixed by the contract
 
@@ -123,25 +125,24 @@ def _repeated(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        row = batch.column("row")
-        columns = [row, *(pa.array(m, pa.int64()) for m in measured(batch.column("text")))]
+    for batch in slices(batches, "text", SLICE_BYTES):
+        columns = [batch.column("row"), *(pa.array(m, pa.int64()) for m in measured(batch.column("text")))]
         yield pa.RecordBatch.from_arrays(columns, names=["row", *MEASURES])
 
 
-def measurements(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def measurements(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``row`` (struct of the wanted input columns) and the measurements."""
-    kept = docs.columns if keep is None else keep
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text"))
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text"))
     fields = [source.schema["row"], *(T.StructField(m, T.LongType()) for m in MEASURES)]
     return source.mapInArrow(_measure, T.StructType(fields))
 
 
-def failed_bits() -> Column:
-    """One bit per rule that the measurements in scope fail."""
+def failed_bits(prefix: str = "") -> Column:
+    """One bit per rule that the measurements in scope (under ``prefix``) fail."""
     bits = F.lit(0).cast("long")
     for rule in RULES:
-        bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(rule.mask).cast("long")).otherwise(F.lit(0).cast("long")))
+        fails = F.expr(re.sub("[a-z]+(_[a-z]+)+", lambda m: prefix + m[0], rule.fails))
+        bits = bits.bitwiseOR(F.when(fails, F.lit(rule.mask).cast("long")).otherwise(F.lit(0).cast("long")))
     return bits
 
 
@@ -158,10 +159,22 @@ def passes(policy: Policy, failed: str = "failed") -> Column:
 def judged(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The documents that pass, with all their columns as they came.
 
-    The input row travels as one struct beside the measurements, so that an input
-    column may have the name of a measurement.
+    The rows travel through Python once, in small slices. The measurements come back in
+    one struct under a name that no input column has.
     """
-    return measurements(docs).where(failed_bits().bitwiseAND(F.lit(policy.mask).cast("long")) == 0).select("row.*")
+    name = "measurements"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    fields = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE_BYTES):
+            found = pa.StructArray.from_arrays([pa.array(m, pa.int64()) for m in measured(batch.column("text"))], list(MEASURES))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
+
+    book = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, fields)]))
+    of_rules = failed_bits(prefix=f"{name}.")
+    return book.where(of_rules.bitwiseAND(F.lit(policy.mask).cast("long")) == 0).drop(name)
 
 
 def ablations(book: DataFrame, policy: Policy = CURRENT) -> DataFrame:
