@@ -67,6 +67,7 @@ _HINTS = tuple(re.compile(p) for _, p in HINTS)
 # Elements that tell what lies in them, looked for among a node's ancestors.
 REGIONS = "main article nav header footer aside form".split()
 N_PAGES = 600
+NESTED = 0.3  # often enough for the trees to trust a sign inside an article as well
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
@@ -329,8 +330,11 @@ _BAD = {
 }
 
 
-def training_pages(texts: list[str], n: int, seed: int = 0) -> list[str]:
-    """Pages laid out by rule; texts are lines of prose, and a mark begins each main block."""
+def training_pages(texts: list[str], n: int, seed: int = 0, nested: float = 0.08) -> list[str]:
+    """Pages laid out by rule; texts are lines of prose, and a mark begins each main block.
+
+    ``nested`` is the chance of boilerplate after a block, inside the main element.
+    """
     rng = np.random.default_rng(seed)
     pick = lambda options: options[int(rng.integers(len(options)))]
     line = lambda: pick(texts)
@@ -377,7 +381,7 @@ def training_pages(texts: list[str], n: int, seed: int = 0) -> list[str]:
             else:
                 first, *rest = line().split(" ")
                 body.append(f'<p>{mark}<a href="/z">{html.escape(first)}</a> {html.escape(" ".join(rest))}</p>')
-            if rng.random() < 0.08:
+            if rng.random() < nested:
                 body.append(boilerplate())
         tag = pick(["article", "article", "main", "div", "div", "section"])
         attributes = pick(_GOOD[1:]) if tag in ("div", "section") or rng.random() < 0.5 else ""
@@ -394,7 +398,7 @@ def fit(texts: list[str], n: int = N_PAGES) -> Trees:
     """Trees from ``n`` laid-out pages. An element is content if main text lies in it and
     no element below it holds other text than main text."""
     xs, ys = [], []
-    for page in training_pages(texts, n):
+    for page in training_pages(texts, n, nested=NESTED):
         nodes = parse(page)
         good, bad = np.zeros(len(nodes)), np.zeros(len(nodes))
         for i, x in enumerate(nodes):

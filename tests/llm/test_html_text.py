@@ -14,7 +14,7 @@ PROSE = [f"Line {i} of the prose speaks of rivers, hills and the towns between t
 
 @pytest.fixture(scope="module")
 def trees():
-    return H.fit(PROSE, 300)
+    return H.fit(PROSE)
 
 
 def marked(page: str) -> str:
@@ -24,6 +24,7 @@ def marked(page: str) -> str:
 
 
 def test_laid_out_pages(trees):
+    # Some laid-out boilerplate bears no sign at all, so that not every page can be right.
     pages = H.training_pages(PROSE, 120, seed=9)
     found = H.extract([p.replace("\x02", "") for p in pages], trees)
     same = sum(marked(p) == re.sub(r"\s+", "", f) for p, f in zip(pages, found))
