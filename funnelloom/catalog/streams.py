@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from funnelloom.catalog.registry import query
+from funnelloom.functions.dates import unix_micros_sql
+from funnelloom.session import scratch_path
 from funnelloom.sources.testdata import stream_of
 from funnelloom.streaming import hourly
 
@@ -16,20 +18,21 @@ from funnelloom.streaming import hourly
         WHEN 39 THEN 'Broker' WHEN 46 THEN 'Propiedades' WHEN 47 THEN 'Leadforms' END AS source
       FROM v_hourly_leads WHERE deal_id IS NOT NULL AND source_id IN (3,7,20,35,39,46,47))
     SELECT country, CAST(CAST(ts AS DATE) AS STRING) AS local_date, CAST(hour(ts) + 1 AS INT) AS hour,
-      source, count(*) AS n FROM x GROUP BY ALL""",
+      source, count(DISTINCT deal_id) AS n FROM x GROUP BY ALL""",
 )
 def stream_hourly_counts(t):
-    stream = hourly.hourly_counts(stream_of(t, "hourly_leads"))
-    updates = hourly.drain_updates(stream, "hourly-counts")
-    out = hourly.latest_update(updates, ["country", "local_date", "hour", "source"], "n")
+    stream = hourly.hourly_deals(stream_of(t, "hourly_leads"))
+    out = hourly.hourly_counts(hourly.drain(stream, scratch_path(t.spark, "hourly-deals")))
     return out.withColumn("local_date", F.col("local_date").cast("string"))
 
 
 @query(
     "stream_first_qualification",
-    """SELECT DISTINCT country, deal_id FROM v_hourly_log
-    WHERE deal_id IS NOT NULL AND state_id IN (20, 63)""",
+    """SELECT country, deal_id, epoch_us(min(ts)) AS event_us FROM v_hourly_log
+    WHERE deal_id IS NOT NULL AND state_id IN (20, 63) GROUP BY ALL""",
 )
 def stream_first_qualification(t):
-    stream = hourly.first_qualification(stream_of(t, "hourly_log"), "40 days")
-    return hourly.drain_append(stream, "first-qualification").select("country", "deal_id")
+    stream = hourly.qualifications(stream_of(t, "hourly_log"))
+    stored = hourly.drain(stream, scratch_path(t.spark, "qualifications"), hourly.first_per_deal)
+    first = hourly.first_per_deal(stored)
+    return first.select("country", "deal_id", F.expr(unix_micros_sql("event_ts", first.schema["event_ts"].dataType)).alias("event_us"))

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from funnelloom.spec import GRAINS
 
@@ -213,3 +214,12 @@ def cap_to_yesterday(first: Column, last: Column, as_of: dt.date) -> tuple[Colum
         F.when(first <= cap, first).otherwise(gone),
         F.when(first <= cap, F.least(last, cap)).otherwise(gone),
     )
+
+
+def unix_micros_sql(ts: str, kind: T.DataType) -> str:
+    """SQL for the microseconds of a time since 1970. A zoneless one is counted as it
+    stands, so that neither order nor distance depends on the session's zone."""
+    if isinstance(kind, T.TimestampType):
+        return f"unix_micros({ts})"
+    passed = f"CAST(CAST({ts} AS TIMESTAMP_NTZ) - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    return f"CAST(CAST({passed} AS DECIMAL(18,6)) * 1000000 AS BIGINT)"

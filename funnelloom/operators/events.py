@@ -1,8 +1,9 @@
 """Events per deal or asset: first, latest, stage dates, transitions.
 
-All of them are single grouped passes with map-side combining over primitive
-buffers, so a deal with a large part of the log shrinks to one row per task before
-anything is shuffled.
+All of them are single grouped passes with map-side combining, so a deal with a large
+part of the log shrinks to one row per task before anything is shuffled. Buffers are
+fixed-width (numbers, times, decimals), which keeps the aggregates hash-based; only
+``first_change_per_asset`` and ``dedup_first`` take the minimum of a struct and sort.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelloom.functions.dates import start_of_day
+from funnelloom.functions.dates import start_of_day, unix_micros_sql
 from funnelloom.operators.scans import scan_state_log
 from funnelloom.spec import (
     COUNTRIES,
@@ -56,17 +57,58 @@ def first_windowed_event(log: DataFrame, states: Sequence[int], first: Column, t
     return first_event(log.where(F.col("ts") >= first), states, track)
 
 
-# Time, position and state in one long: a primitive buffer keeps the aggregate
-# hash-based. Milliseconds in the high bits, ten bits each for the other two.
-_ORDER = (
-    "shiftleft(unix_millis(CAST(ts AS TIMESTAMP)), 20) + shiftleft(CAST(seq AS BIGINT), 10) + state_id"
-)
+_HALF = 1 << 31
+_FIELD = 10**10
+
+
+def _order(log: DataFrame) -> str:
+    """Time, position and state of a log row as one decimal of 38 digits.
+
+    A decimal is a fixed-width buffer, so the aggregate stays hash-based. Microseconds
+    have 18 digits (years 1 to 9999), position and state ten each, the whole range of an
+    INT moved to start at 0; a wider value raises. A missing position comes before all
+    others; a row without time or state says nothing and is passed over.
+    """
+    micros = unix_micros_sql("ts", log.schema["ts"].dataType)
+    seq = f"(CAST(CAST(coalesce(seq, -{_HALF}) AS INT) AS BIGINT) + {_HALF})"
+    state = f"(CAST(CAST(state_id AS INT) AS BIGINT) + {_HALF})"
+    return (
+        f"CAST({micros} AS DECIMAL(18,0)) * {_FIELD**2} + CAST({seq} AS DECIMAL(10,0)) * {_FIELD}"
+        f" + CAST({state} AS DECIMAL(10,0))"
+    )
+
+
+def _last(log: DataFrame, out: str, where: str | None = None) -> Column:
+    """The state of the last row by ``_order``, as an aggregate."""
+    kept = f" FILTER (WHERE {where})" if where else ""
+    return F.expr(f"CAST(CAST(pmod(max({_order(log)}){kept}, {_FIELD}) AS BIGINT) - {_HALF} AS INT) AS {out}")
 
 
 def latest_state(log: DataFrame, track: str = "mm", out: str = "state_id") -> DataFrame:
     """State of each deal after its last log row (time, then position, then id)."""
     rows = log.where(f"deal_id IS NOT NULL AND track = '{track}'")
-    return rows.groupBy(*DEAL).agg(F.expr(f"CAST(max({_ORDER}) % 1024 AS INT) AS {out}"))
+    return rows.groupBy(*DEAL).agg(_last(log, out))
+
+
+def current_state(log: DataFrame, current: DataFrame | None, track: str = "mm", out: str = "state_id") -> DataFrame:
+    """State of each deal from the table of current states (country, deal_id, state_id,
+    inmo_state_id; one row per deal) where there is one, else from the log."""
+    if current is None:
+        return latest_state(log, track, out)
+    column = F.col("state_id" if track == "mm" else "inmo_state_id")
+    return current.where(F.col("deal_id").isNotNull()).select(*DEAL, column.cast("int").alias(out))
+
+
+def first_dates(log: DataFrame) -> DataFrame:
+    """First qualification date on each track. Only qualifying rows leave the scan."""
+    mm = F.col("state_id").isin(*QUALIFIED_MM) & (F.col("track") == "mm")
+    inmo = F.col("state_id").isin(*QUALIFIED_INMO) & (F.col("track") == "inmo")
+    return (
+        log.where(F.col("deal_id").isNotNull() & (mm | inmo))
+        .groupBy(*DEAL)
+        .agg(F.to_date(F.min(F.when(mm, F.col("ts")))).alias("mm_date"),
+             F.to_date(F.min(F.when(inmo, F.col("ts")))).alias("inmo_date"))
+    )
 
 
 def deal_summary(log: DataFrame) -> DataFrame:
@@ -80,8 +122,8 @@ def deal_summary(log: DataFrame) -> DataFrame:
         .agg(
             F.expr(f"to_date(min(ts) FILTER (WHERE track = 'mm' AND state_id IN ({mm}))) AS mm_date"),
             F.expr(f"to_date(min(ts) FILTER (WHERE track = 'inmo' AND state_id IN ({inmo}))) AS inmo_date"),
-            F.expr(f"CAST(max({_ORDER}) FILTER (WHERE track = 'mm') % 1024 AS INT) AS state_id"),
-            F.expr(f"CAST(max({_ORDER}) FILTER (WHERE track = 'inmo') % 1024 AS INT) AS inmo_state_id"),
+            _last(log, "state_id", "track = 'mm'"),
+            _last(log, "inmo_state_id", "track = 'inmo'"),
         )
     )
 
@@ -151,7 +193,7 @@ def deal_transitions(log: DataFrame) -> DataFrame:
             F.expr(f"min(ts) FILTER (WHERE state_id IN ({inc})) AS first_inc"),
             F.expr(f"min(ts) FILTER (WHERE state_id IN ({rev})) AS first_rev"),
             F.expr(f"max(ts) FILTER (WHERE state_id = {REQUALIFIED}) AS last_20"),
-            F.expr(f"CAST(max({_ORDER}) % 1024 AS INT) AS state_id"),
+            _last(log, "state_id"),
         )
     )
 

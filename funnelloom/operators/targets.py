@@ -136,12 +136,15 @@ def subtract_source_total(long: DataFrame, country: str, exclude: str) -> DataFr
 def range_sum_spend(ranges: DataFrame, daily: DataFrame, keys: Sequence[str], out: str = "spend") -> DataFrame:
     """Spend inside each inclusive range, 0 for an empty or missing one.
 
-    Ranges are few and at most a year long, so they are opened into days and joined by
-    equality; a range condition would compare every range with every day.
+    Ranges are few. They are cut to the days with spend of their country, opened into
+    days and joined by equality; a range condition would compare every range with every
+    day. A mistyped year thus opens no more days than the spend itself has.
     """
-    valid = F.col("from").isNotNull() & F.col("to").isNotNull() & (F.col("from") <= F.col("to"))
-    days = F.when(valid, F.sequence("from", "to"))
-    opened = ranges.select("country", *keys, F.explode_outer(days).alias("day"))
+    known = daily.where(F.col("day").isNotNull()).groupBy("country").agg(F.min("day").alias("__min"), F.max("day").alias("__max"))
+    low, high = F.greatest("from", "__min"), F.least("to", "__max")
+    whole = F.col("from").isNotNull() & F.col("to").isNotNull() & F.col("__min").isNotNull()
+    days = F.when(whole & (low <= high), F.sequence(low, high))
+    opened = ranges.join(known, "country", "left").select("country", *keys, F.explode_outer(days).alias("day"))
     joined = opened.join(daily, ["country", "day"], "left")
     return joined.groupBy("country", *keys).agg(F.coalesce(F.sum("spend"), F.lit(0)).alias(out))
 

@@ -103,9 +103,9 @@ def assigned_explorer(leads: DataFrame, owners: DataFrame, mart: DataFrame, as_o
 # --- thirteen-rule explorer ---------------------------------------------------------
 def explorer_rows(
     changes: DataFrame, owners: DataFrame, deal_info: DataFrame, leads: DataFrame, log: DataFrame,
-    as_of: dt.date, offset: int = -5, days: int = DAYS,
+    as_of: dt.date, offset: int = -5, days: int = DAYS, country: str = "CO",
 ) -> DataFrame:
-    """First assignments with each lead of their asset, counted per day, source,
+    """First assignments with each lead of one country and their asset, counted per day, source,
     qualification and the thirteen flags.
 
     Leads are counted per asset and attribute before the join, so an asset with very
@@ -122,7 +122,7 @@ def explorer_rows(
     rating = F.coalesce(F.lower(F.trim("rating")), F.lit(""))
     label = F.coalesce(label_source(F.col("source_id"), LABELS_EXPLORER), F.lit(LABEL_EXPLORER_OTHER))
     facts = (
-        leads.where(F.col("asset_id").isNotNull())
+        leads.where((F.col("country") == country) & F.col("asset_id").isNotNull())
         .groupBy(
             "asset_id",
             label.alias("f"),
@@ -133,7 +133,7 @@ def explorer_rows(
         .agg(F.count("*").alias("n"))
     )
     qualified = (
-        scan_state_log(log, QUALIFIED_MM, "mm")
+        scan_state_log(log.where(F.col("country") == country), QUALIFIED_MM, "mm")
         .select(F.col("deal_id").alias("asset_id"))
         .distinct()
         .withColumn("c", F.lit(1))

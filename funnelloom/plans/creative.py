@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from funnelloom.functions.dates import date_spine, start_of_day
 from funnelloom.functions.ratios import pct, safe_ratio
-from funnelloom.operators.events import DEAL, deal_summary, stage_dates
+from funnelloom.operators.events import DEAL, first_dates, stage_dates
 from funnelloom.operators.joins import left_join_spread
 from funnelloom.spec import STAGE_SPELLINGS, STAGES_NOT_ON_INMO
 
-UNIVERSE, CREATIVE = "fbp", "pml"
+UNIVERSE, CREATIVE = "universe", "creative"
 STAGES = tuple(STAGE_SPELLINGS)
 COUNTS = (
     ("t", "cal", *STAGES)
@@ -64,7 +64,7 @@ def creative_cohort(
         F.lit(country).alias("country"), "deal_id", F.lit(1).alias("__mine")
     )
     one_country = log.where(F.col("country") == country)
-    dates = deal_summary(one_country).select(*DEAL, "mm_date", "inmo_date")
+    dates = first_dates(one_country)
     base = left_join_spread(base, mine, dates, on=DEAL, nullable="deal_id")
     stages = stage_dates(stage_log.where(F.col("country") == country))
     return base.join(stages, "asset_id", "left").withColumn(

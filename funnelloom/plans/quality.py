@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from funnelloom.functions.dates import (
     bucket_label,
     bucket_of_day,
-    bucket_spine,
     bucket_start,
     iso_week_start,
     start_of_day,
@@ -19,19 +18,23 @@ from funnelloom.functions.dates import (
 from funnelloom.functions.ratios import pct, quality_band
 from funnelloom.functions.text import state_name_fallback
 from funnelloom.operators.compare import top_with_other
-from funnelloom.operators.events import DEAL, latest_state
+from funnelloom.operators.events import DEAL, current_state
 from funnelloom.operators.joins import left_join_spread
 from funnelloom.spec import ACTIVE_DAYS, TOP_STATES
 
 OTHERS = "__OTROS__"
+COUNTRY = "MX"
+STEPS = {"D": "1 DAY", "W": "7 DAY", "M": "1 MONTH"}
 PRIORITIES = ("A", "B", "C")
 COUNTRY_NAMES = ("Colombia", "México")
 
 
-def campaign_leads(leads: DataFrame, campaigns: Sequence[str], first: dt.date) -> DataFrame:
-    """Leads of a fixed campaign list from a start day on; today is not excluded."""
+def campaign_leads(
+    leads: DataFrame, campaigns: Sequence[str], first: dt.date, country: str = COUNTRY
+) -> DataFrame:
+    """One country's leads of a fixed campaign list from a start day on; today is not excluded."""
     return leads.where(
-        (F.col("created_at") >= start_of_day(first)) & F.col("campaign").isin(*campaigns)
+        (F.col("country") == country) & (F.col("created_at") >= start_of_day(first)) & F.col("campaign").isin(*campaigns)
     )
 
 
@@ -58,8 +61,10 @@ def price_presence(counts: DataFrame, deals: DataFrame, keys: Sequence[str]) ->
     )
 
 
-def price_quality_daily(leads: DataFrame, deals: DataFrame, campaigns: Sequence[str], first: dt.date) -> DataFrame:
-    rows = campaign_leads(leads, campaigns, first)
+def price_quality_daily(
+    leads: DataFrame, deals: DataFrame, campaigns: Sequence[str], first: dt.date, country: str = COUNTRY
+) -> DataFrame:
+    rows = campaign_leads(leads, campaigns, first, country)
     counts = rows.groupBy(F.to_date("created_at").alias("d"), "campaign", "asset_id").agg(
         F.count("*").alias("n")
     )
@@ -92,23 +97,28 @@ def active(last_day, as_of: dt.date):
     return F.datediff(F.lit(as_of), last_day) <= ACTIVE_DAYS
 
 
-def price_quality(daily: DataFrame, grain: str) -> DataFrame:
-    """All campaigns per bucket on a spine without holes; a bucket without leads has
-    counts of 0 and no share."""
-    start = bucket_start(F.col("d"), grain).alias("bucket")
-    sums = daily.groupBy(start).agg(
-        F.sum("with_price").alias("with_price"), F.sum("without_price").alias("without_price")
+def price_quality_grains(daily: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """All campaigns per grain and bucket on a spine without holes; a bucket without
+    leads has counts of 0 and no share. Every grain comes from one pass over the days."""
+    starts = F.array(*[F.struct(F.lit(g).alias("g"), bucket_start(F.col("d"), g).alias("bucket")) for g in grains])
+    sums = (
+        daily.select(F.inline(starts), "with_price", "without_price")
+        .groupBy("g", "bucket")
+        .agg(F.sum("with_price").alias("with_price"), F.sum("without_price").alias("without_price"))
     )
     # From the same sums, so that their shuffle is read twice rather than made twice.
-    ends = sums.agg(
+    ends = sums.groupBy("g").agg(
         F.min("bucket").alias("first"), F.max("bucket").alias("last"),
         F.sum("with_price"), F.sum("without_price"),
     ).where(F.col("first").isNotNull())
-    spine = bucket_spine(ends, "first", "last", grain).select("bucket")
-    out = spine.join(sums, "bucket", "left")
+    arms = " ".join(f"WHEN '{g}' THEN sequence(first, last, INTERVAL {STEPS[g]})" for g in grains)
+    spine = ends.select("g", F.explode(F.expr(f"CASE g {arms} END")).alias("bucket"))
+    out = spine.join(sums, ["g", "bucket"], "left")
     share = pct(F.col("without_price"), F.col("with_price") + F.col("without_price"))
+    label = F.coalesce(*[F.when(F.col("g") == g, bucket_label(F.col("bucket"), g)) for g in grains])
     return out.select(
-        bucket_label(F.col("bucket"), grain).alias("bucket"),
+        "g",
+        label.alias("bucket"),
         F.coalesce("with_price", F.lit(0)).alias("with_price"),
         F.coalesce("without_price", F.lit(0)).alias("without_price"),
         share.alias("pct_without"),
@@ -116,15 +126,19 @@ def price_quality(daily: DataFrame, grain: str) -> DataFrame:
     )
 
 
+def price_quality(daily: DataFrame, grain: str) -> DataFrame:
+    return price_quality_grains(daily, (grain,)).drop("g")
+
+
 def price_quality_states(
     leads: DataFrame, deals: DataFrame, log: DataFrame, catalogue: DataFrame,
-    campaigns: Sequence[str], first: dt.date,
+    campaigns: Sequence[str], first: dt.date, country: str = COUNTRY, current: DataFrame | None = None,
 ) -> DataFrame:
     """Leads without price per day, campaign and current state."""
-    rows = campaign_leads(leads, campaigns, first).select(
+    rows = campaign_leads(leads, campaigns, first, country).select(
         *DEAL, "asset_id", "campaign", F.to_date("created_at").alias("d")
     )
-    with_state = left_join_spread(rows, latest_state(log), on=DEAL, nullable="deal_id")
+    with_state = left_join_spread(rows, current_state(log, current), on=DEAL, nullable="deal_id")
     counts = with_state.groupBy("d", "campaign", "state_id", "asset_id").agg(F.count("*").alias("n"))
     sums = price_presence(counts, deals, ["d", "campaign", "state_id"])
     named = sums.where(F.col("without_price") > 0).join(

@@ -13,10 +13,12 @@ from funnelloom.functions.text import state_name_fallback
 from funnelloom.operators.events import (
     ASSET,
     DEAL,
+    current_state,
     deal_summary,
     deal_transitions,
     first_assignment,
-    latest_state,
+    first_dates,
+    transition_summary,
 )
 from funnelloom.operators.joins import left_join_spread
 from funnelloom.operators.rollup import cohort_by_grain, count_by_grain
@@ -33,14 +35,21 @@ from funnelloom.spec import (
 NO_INMO_RECORD = "(sin registro Inmo)"
 
 
-def enrich_first_events(leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date) -> DataFrame:
+def enrich_first_events(
+    leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
     """Leads with first qualification per track, current state and first assignment.
 
-    One pass over the log serves the four deal-level columns, so leads are shuffled
-    once by deal and once by asset.
+    With a table of current states only qualifying rows of the log are read; without
+    one, one pass over the whole log serves the four deal-level columns.
     """
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
-    with_deal = left_join_spread(base, deal_summary(log), on=DEAL, nullable="deal_id")
+    if current is None:
+        facts = [deal_summary(log)]
+    else:
+        states = current.where(F.col("deal_id").isNotNull()).select(*DEAL, "state_id", "inmo_state_id")
+        facts = [first_dates(log), states]
+    with_deal = left_join_spread(base, *facts, on=DEAL, nullable="deal_id")
     return left_join_spread(with_deal, first_assignment(stage_log), on=ASSET, nullable="asset_id")
 
 
@@ -56,9 +65,11 @@ SELLERS_METRICS = {
 }
 
 
-def sellers_funnel(leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date) -> DataFrame:
+def sellers_funnel(
+    leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
     metrics = SELLERS_METRICS
-    out = cohort_by_grain(enrich_first_events(leads, log, stage_log, as_of), metrics)
+    out = cohort_by_grain(enrich_first_events(leads, log, stage_log, as_of, current), metrics)
     return out.select(
         "g",
         country_label(F.col("country")).alias("c"),
@@ -71,11 +82,13 @@ def sellers_funnel(leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of
     )
 
 
-def antifunnel(leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_of: dt.date) -> DataFrame:
+def antifunnel(
+    leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
     """Leads that are not qualified now, by current state; no state means no row."""
-    current = latest_state(log).where(~F.col("state_id").isin(*QUALIFIED_MM))
+    states = current_state(log, current).where(~F.col("state_id").isin(*QUALIFIED_MM))
     base = scan_leads(leads, as_of).where(F.col("deal_id").isNotNull()).select(*DEAL, "source_id", "created")
-    rows = base.join(current, list(DEAL))
+    rows = base.join(states, list(DEAL))
     out = count_by_grain(rows, ("country", "source_id", "state_id"))
     named = out.join(catalogue.select("state_id", "name"), "state_id", "left")
     state_id, state_name = state_name_fallback(F.col("name"), F.col("state_id"))
@@ -90,16 +103,23 @@ def antifunnel(leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_of: dt
     )
 
 
-def missing_second_track(leads: DataFrame, log: DataFrame, as_of: dt.date) -> DataFrame:
+def missing_second_track(
+    leads: DataFrame, log: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
     """Leads that qualified on the first track and never on the second, with their
     current state there. The one-pass summary replaces an inner and an anti join."""
-    summary = deal_summary(log).where(F.col("mm_date").isNotNull() & F.col("inmo_date").isNull())
+    summary = deal_summary(log) if current is None else first_dates(log)
+    summary = summary.where(F.col("mm_date").isNotNull() & F.col("inmo_date").isNull())
+    if current is not None:
+        summary = summary.join(current_state(log, current, "inmo", "inmo_state_id"), list(DEAL), "left")
     base = scan_leads(leads, as_of).where(F.col("deal_id").isNotNull()).select(*DEAL, "source_id", "created")
     return base.join(summary.select(*DEAL, "inmo_state_id"), list(DEAL))
 
 
-def mm_without_inmo(leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_of: dt.date) -> DataFrame:
-    rows = missing_second_track(leads, log, as_of)
+def mm_without_inmo(
+    leads: DataFrame, log: DataFrame, catalogue: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
+    rows = missing_second_track(leads, log, as_of, current)
     out = count_by_grain(rows, ("country", "source_id", "inmo_state_id"))
     named = out.join(
         catalogue.select(F.col("state_id").alias("inmo_state_id"), "name"), "inmo_state_id", "left"
@@ -131,11 +151,16 @@ def _waiting_metrics(prefix: str, states: tuple[int, ...]) -> dict[str, str]:
 TRANSITION_METRICS = _waiting_metrics("inc", WAITING_INCOMPLETE) | _waiting_metrics("rev", WAITING_REVIEW)
 
 
-def transition_multi_grain(leads: DataFrame, log: DataFrame, as_of: dt.date) -> DataFrame:
+def transition_multi_grain(
+    leads: DataFrame, log: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
-    per_deal = deal_transitions(log)
+    if current is None:
+        facts = [deal_transitions(log)]
+    else:
+        facts = [transition_summary(log), current_state(log, current)]
     metrics = TRANSITION_METRICS
-    out = cohort_by_grain(left_join_spread(base, per_deal, on=DEAL, nullable="deal_id"), metrics)
+    out = cohort_by_grain(left_join_spread(base, *facts, on=DEAL, nullable="deal_id"), metrics)
     return out.select(
         "g",
         "start",
@@ -149,8 +174,10 @@ def transition_multi_grain(leads: DataFrame, log: DataFrame, as_of: dt.date) ->
     )
 
 
-def transitory_states(leads: DataFrame, log: DataFrame, as_of: dt.date) -> DataFrame:
-    return transition_multi_grain(leads, log, as_of).drop("start")
+def transitory_states(
+    leads: DataFrame, log: DataFrame, as_of: dt.date, current: DataFrame | None = None
+) -> DataFrame:
+    return transition_multi_grain(leads, log, as_of, current).drop("start")
 
 
 def scaled(rate: Column, window) -> Column:

@@ -12,7 +12,7 @@ from funnelloom.functions.ratios import safe_ratio
 from funnelloom.functions.text import label_source
 from funnelloom.operators.channels import per_country
 from funnelloom.operators.compare import linear_trend, tail_buckets
-from funnelloom.operators.events import DEAL, deal_summary
+from funnelloom.operators.events import DEAL, first_dates
 from funnelloom.operators.scans import scan_leads
 from funnelloom.spec import TAIL_BUCKETS
 
@@ -27,7 +27,7 @@ def dual_track_daily(leads: DataFrame, log: DataFrame, as_of: dt.date, days: int
     base = base.where(F.col("deal_id").isNotNull()).select(
         *DEAL, F.col("created").alias("d"), label.alias("source")
     )
-    flags = deal_summary(log).select(*DEAL, "mm_date", "inmo_date")
+    flags = first_dates(log)
     return (
         base.join(flags, list(DEAL), "left")
         .groupBy("country", "d", "source")

@@ -31,6 +31,13 @@ def utc(ts: str) -> Column:
     return F.col(ts).cast("timestamp")
 
 
+def _near(ts: str, first: dt.date, as_of: dt.date) -> Column:
+    """Coarse bound on a raw time, a day or more wider than the local days at each end."""
+    lowest = F.lit(str(first - dt.timedelta(days=1))).cast("timestamp_ntz")
+    highest = F.lit(str(as_of + dt.timedelta(days=2))).cast("timestamp_ntz")
+    return (F.col(ts) >= lowest) & (F.col(ts) < highest)
+
+
 def scan_pageviews(pageviews: DataFrame, as_of: dt.date, days: int = 180, zone: str = ZONE) -> DataFrame:
     """Form page views of known visitors in the local-day window, today excluded.
 
@@ -38,10 +45,8 @@ def scan_pageviews(pageviews: DataFrame, as_of: dt.date, days: int = 180, zone:
     the exact local-day test follows.
     """
     first = as_of - dt.timedelta(days=days)
-    lowest = F.lit(str(first - dt.timedelta(days=1))).cast("timestamp_ntz")
-    highest = F.lit(str(as_of + dt.timedelta(days=2))).cast("timestamp_ntz")
     rows = pageviews.where(
-        (F.col("ts") >= lowest) & (F.col("ts") < highest)
+        _near("ts", first, as_of)
         & F.col("path").like(f"{FORM_PREFIX}%")
         & F.col("anonymous_id").isNotNull()
     )
@@ -116,12 +121,13 @@ def chain_counts(chain: DataFrame) -> DataFrame:
     return leads.unionByName(lost)
 
 
-def referral_leads(crm_deals: DataFrame, as_of: dt.date, days: int = 180) -> DataFrame:
-    """Leads of the form without page tracking, counted at the CRM."""
+def referral_leads(crm_deals: DataFrame, as_of: dt.date, days: int = 180, zone: str = ZONE) -> DataFrame:
+    """Leads of the form without page tracking, counted at the CRM by local day."""
     first = as_of - dt.timedelta(days=days)
-    day = F.to_date("created")
+    day = local_date_tz(utc("created"), zone)
     rows = crm_deals.where(
-        (F.col("sub_source") == FORM_SUB_SOURCE) & (day >= F.lit(first)) & (day < F.lit(as_of))
+        (F.col("sub_source") == FORM_SUB_SOURCE) & _near("created", first, as_of)
+        & (day >= F.lit(first)) & (day < F.lit(as_of))
     )
     return rows.groupBy(day.alias("d")).agg(F.count("*").alias("n")).select(
         "d", F.lit(FORM_UNTRACKED_SOURCE).alias("source"), F.lit(LEAD).alias("stage"), "n"
@@ -134,6 +140,8 @@ def web_form_funnel(
 ) -> DataFrame:
     """Long rows (day, source, stage, n)."""
     views = scan_pageviews(pageviews, as_of)
+    # A session belongs to the local day of a page view, so it lies in the same window.
+    select_content = select_content.where(_near("ts", as_of - dt.timedelta(days=180), as_of))
     chain = chain_session_to_deal(views, select_content, bridge, deals, leads)
     return (
         stages_daily(views)

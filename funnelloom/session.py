@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +13,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Left joins that share one placement are split too, at the price of a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Call sites in error messages cost a walk of the stack per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -36,15 +38,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """Fresh folder below the cluster's shared checkpoint folder.
+    """Fresh folder that the driver and all executors see.
 
-    ``spark.checkpoint.dir`` names that folder; only where it is unset (tests on
-    one machine) a temporary one takes its place.
+    ``spark.checkpoint.dir`` names the cluster's shared folder; where it is unset the
+    folder lies in the warehouse, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_base()
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-@lru_cache(maxsize=1)
-def _temporary_base() -> str:
-    return tempfile.mkdtemp(prefix="funnelloom-")

@@ -20,7 +20,8 @@ def load_result_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     def typed(field: T.StructField):
         value = F.col(field.name)
         if isinstance(field.dataType, (T.LongType, T.IntegerType)):
-            value = value.cast("double")
+            # A decimal keeps all digits of a BIGINT; casting it on drops the fraction.
+            value = value.cast("decimal(38,10)")
         return value.cast(field.dataType).alias(field.name)
 
     return rows.select(*[typed(f) for f in target.fields])

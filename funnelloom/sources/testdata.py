@@ -297,7 +297,8 @@ BINDINGS: dict[str, tuple[str, dict[str, str], str | None]] = {
     "web_crm_deals": (
         "orders",
         {
-            "created": "CAST('2024-01-01' AS DATE) + CAST(o_orderkey % 45 AS INT)",
+            "created": "CAST('2024-01-01' AS DATE) + CAST(o_orderkey % 45 AS INT) "
+            "+ INTERVAL '1' HOUR * CAST(o_orderkey % 24 AS INT)",
             "sub_source": "CASE WHEN o_orderstatus = 'P' THEN 'Ayuda Venta' ELSE 'Otro' END",
         },
         None,

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelloom.session import scratch_path
-
 
 def nested_by_day(daily: DataFrame) -> DataFrame:
-    """One document per country and day: channel to its three metrics. A document's
-    size is bounded by the number of channels of a day."""
+    """One document per country and day: channel to its three metrics.
+
+    A campaign without a dictionary row is a channel of its own, so what bounds a
+    document is the number of different campaign texts of its day. Where that text is
+    open-ended, ``write_flat`` stores the same cells as rows.
+    """
     cell = F.struct(F.coalesce("channel", F.lit("null")).alias("channel"), "reg", "cal", "spend")
     return (
         daily.groupBy("country", F.col("dia").cast("string").alias("dia"))
@@ -38,11 +40,16 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def round_trip_json(df: DataFrame, purpose: str) -> DataFrame:
-    """Write documents to the shared folder and read them back with their schema."""
-    path = scratch_path(df.sparkSession, purpose)
-    write_json(df, path)
-    return df.sparkSession.read.schema(df.schema).json(path)
+def write_flat(daily: DataFrame, path: str) -> None:
+    """One row per country, day and channel, in a folder per country and day."""
+    daily.write.mode("overwrite").partitionBy("country", "dia").parquet(path)
+
+
+def round_trip_json(df: DataFrame) -> DataFrame:
+    """Documents as their JSON text and parsed again with their schema: what a reader of
+    ``write_json``'s files gets, without a store in between."""
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return df.select(F.from_json(text, df.schema).alias("doc")).select("doc.*")
 
 
 def ordered_json(column: str) -> Column:

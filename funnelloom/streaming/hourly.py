@@ -1,27 +1,32 @@
 """The hourly board as streams: hourly counts and first qualifications.
 
 Both jobs drain what is available and stop, so a scheduler can run them as often as the
-board is to be refreshed; state and progress live in the shared checkpoint folder.
+board is to be refreshed. The caller names the folder that holds progress and results;
+a later run with the same folder reads new files only and adds to the same results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelloom.functions.text import label_source
 from funnelloom.operators.channels import per_country
-from funnelloom.session import scratch_path
 from funnelloom.spec import LABELS_HOURLY, QUALIFIED_MM
 
 LATENESS = "2 hours"
+HOUR = ("country", "local_date", "hour", "source")
+DEAL = ("country", "deal_id")
 
 
-def hourly_counts(leads: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Registrations per country, local hour and source over a stream of leads.
+def hourly_deals(leads: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Each deal once per country, local hour and source over a stream of leads.
 
-    A watermark needs an instant, so the zoneless time is cast first; the offset turns
-    it into local time before the hours are cut.
+    The state holds the keys of the hours that the watermark has not passed; rows that
+    come later than that are dropped. A watermark needs an instant, so the zoneless
+    time is cast first; the offset turns it into local time before the hours are cut.
     """
     local = per_country(
         lambda s: F.col("created_at").cast("timestamp") + F.make_dt_interval(hours=F.lit(s.utc_offset))
@@ -30,70 +35,50 @@ def hourly_counts(leads: DataFrame, lateness: str = LATENESS) -> DataFrame:
         leads.where(F.col("deal_id").isNotNull() & F.col("source_id").isin(*LABELS_HOURLY))
         .withColumn("local_ts", local)
         .withColumn("source", label_source(F.col("source_id"), LABELS_HOURLY))
+        .withWatermark("local_ts", lateness)
+        .select(*DEAL, "source", F.window("local_ts", "1 hour").alias("window"))
     )
-    return (
-        rows.withWatermark("local_ts", lateness)
-        .groupBy(F.window("local_ts", "1 hour"), "country", "source")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "country",
-            F.to_date("window.start").alias("local_date"),
-            (F.hour("window.start") + 1).alias("hour"),
-            "source",
-            "n",
-        )
+    return rows.dropDuplicates([*DEAL, "source", "window"]).select(
+        *DEAL,
+        F.to_date("window.start").alias("local_date"),
+        (F.hour("window.start") + 1).alias("hour"),
+        "source",
     )
 
 
-def first_qualification(log: DataFrame, lateness: str) -> DataFrame:
-    """Each deal's first arriving qualification, once.
+def hourly_counts(deals: DataFrame) -> DataFrame:
+    """Distinct deals per country, local hour and source of the stored rows."""
+    return deals.groupBy(*HOUR).agg(F.count("*").alias("n"))
 
-    The first arrival is the earliest event when the log arrives in time order; within
-    the watermark a deal is never reported twice.
-    """
-    rows = log.where(F.col("deal_id").isNotNull() & F.col("state_id").isin(*QUALIFIED_MM))
-    rows = rows.withColumn("event_ts", F.col("ts").cast("timestamp"))
-    return (
-        rows.withWatermark("event_ts", lateness)
-        .dropDuplicatesWithinWatermark(["country", "deal_id"])
-        .select("country", "deal_id", "event_ts")
-    )
 
+def qualifications(log: DataFrame) -> DataFrame:
+    """Qualifying rows of a stream of the log with their event time."""
+    rows = log.where(F.col("deal_id").isNotNull() & F.col("state_id").isin(*QUALIFIED_MM))
+    return rows.select(*DEAL, F.col("ts").alias("event_ts"))
 
-def drain_updates(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an aggregating stream over all available input and return the batches of
-    updated rows with their batch number.
-
-    A batch overwrites its own folder, so a batch that runs again after a failure
-    leaves the same rows.
-    """
-    spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    schema = f"{_ddl(stream)}, batch BIGINT"
-
-    def store(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("batch", F.lit(number).cast("long"))
-        rows.write.mode("overwrite").parquet(f"{base}/out/part={number}")
-
-    _run(stream.writeStream.foreachBatch(store).outputMode("update"), base)
-    return spark.read.schema(schema).option("basePath", f"{base}/out").parquet(f"{base}/out").drop("part")
 
+def first_per_deal(rows: DataFrame) -> DataFrame:
+    """Earliest event per deal. The minimum of minima is the minimum, so it is taken in
+    each batch and once more over what the batches left: exact for rows in any order,
+    late ones included, and nothing is kept in a state store."""
+    return rows.groupBy(*DEAL).agg(F.min("event_ts").alias("event_ts"))
 
-def latest_update(updates: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The last reported value per key."""
-    return updates.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
 
+def drain(stream: DataFrame, folder: str, per_batch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Run a stream over all available input and return the rows stored so far, of this
+    run and earlier ones.
 
-def drain_append(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run a stream whose rows are final over all available input into files."""
+    A batch overwrites its own part, so one that runs again after a failure leaves
+    the same rows.
+    """
     spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    _run(stream.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append"), base)
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    out = f"{folder.rstrip('/')}/out"
 
+    def store(batch: DataFrame, number: int) -> None:
+        per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    _run(stream.writeStream.foreachBatch(store).outputMode("append"), folder.rstrip("/"))
+    return spark.read.schema(stream.schema).option("basePath", out).parquet(out).drop("batch")
 
 
 def _run(writer, base: str) -> None:

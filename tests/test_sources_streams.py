@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from funnelloom.operators import events, targets
 from funnelloom.session import scratch_path
 from funnelloom.sources.readers import load_result_rows
@@ -42,7 +40,7 @@ def test_documents_keep_null_spend(spark):
         [("CO", dt.date(2026, 5, 1), "b", 1, 0, None), ("CO", dt.date(2026, 5, 1), "a", 2, 1, 5)],
         "country string, dia date, channel string, reg long, cal long, spend long",
     )
-    stored = round_trip_json(nested_by_day(daily), "test-docs")
+    stored = round_trip_json(nested_by_day(daily))
     text = stored.select(ordered_json("by_channel").alias("x")).first().x
     assert text == '{"a":{"reg":2,"cal":1,"spend":5},"b":{"reg":1,"cal":0,"spend":null}}'
 
@@ -51,14 +49,16 @@ class _Session:
     """The one thing ``scratch_path`` asks of a session; the setting is fixed at start."""
 
     def __init__(self, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = {"spark.sql.warehouse.dir": "s3a://store/warehouse"}
+        if folder:
+            self.conf["spark.checkpoint.dir"] = folder
 
 
 def test_scratch_folder_follows_the_session():
     assert scratch_path(_Session("hdfs://shared/c/"), "x").startswith("hdfs://shared/c/x-")
-    local = scratch_path(_Session(None), "x")
-    assert local != scratch_path(_Session(None), "x")
-    assert local.rsplit("/", 1)[0] == scratch_path(_Session(None), "y").rsplit("/", 1)[0]
+    unset = scratch_path(_Session(None), "x")
+    assert unset.startswith("s3a://store/warehouse/scratch/x-")
+    assert unset != scratch_path(_Session(None), "x")
 
 
 def _files(spark, folder, rows, schema):
@@ -73,40 +73,49 @@ def _files(spark, folder, rows, schema):
     )
 
 
-def test_stream_counts_over_several_batches_equal_batch(spark, tmp_path):
-    def at(h, m):
-        return dt.datetime(2026, 5, 20, h, m)
+def _at(d, h, m=0):
+    return dt.datetime(2026, 5, d, h, m)
 
+
+def test_stream_counts_over_several_batches_equal_batch(spark, tmp_path):
     parts = [
-        [("CO", 1, at(15, 0), 3), ("CO", 2, at(15, 30), 3)],
-        [("CO", 3, at(15, 50), 3), ("MX", 4, at(16, 5), 46)],
-        [("CO", 5, at(16, 10), 3), ("MX", None, at(16, 20), 46), ("MX", 6, at(16, 30), 99)],
+        [("CO", 1, _at(20, 15), 3), ("CO", 2, _at(20, 15, 30), 3), ("CO", 1, _at(20, 15, 40), 3)],
+        [("CO", 3, _at(20, 15, 50), 3), ("MX", 4, _at(20, 16, 5), 46), ("CO", 2, _at(20, 15, 1), 3)],
+        [("CO", 5, _at(20, 16, 10), 3), ("MX", None, _at(20, 16, 20), 46), ("MX", 6, _at(20, 16, 30), 99)],
     ]
     schema = "country string, deal_id long, created_at timestamp_ntz, source_id int"
-    stream = hourly.hourly_counts(_files(spark, tmp_path, parts, schema))
-    updates = hourly.drain_updates(stream, "test-hourly")
-    assert updates.select("batch").distinct().count() == 3
-    out = hourly.latest_update(updates, ["country", "local_date", "hour", "source"], "n")
+    stream = hourly.hourly_deals(_files(spark, tmp_path, parts, schema))
+    out = hourly.hourly_counts(hourly.drain(stream, f"{tmp_path}/job"))
     got = sorted((r.country, r.hour, r.source, r.n) for r in out.collect())
     assert got == [("CO", 11, "WEB", 3), ("CO", 12, "WEB", 1), ("MX", 11, "Propiedades", 1)]
 
 
-def test_stream_reports_each_deal_once(spark, tmp_path):
-    def at(d):
-        return dt.datetime(2026, 5, d)
-
-    parts = [
-        [("CO", 1, 20, at(1)), ("CO", 2, 7, at(1))],
-        [("CO", 1, 63, at(2)), ("CO", 2, 20, at(2))],
-        [("CO", 1, 20, at(3)), ("CO", 3, 63, at(3))],
-    ]
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    """A second run reads new files only; late and unordered rows still decide."""
     schema = "country string, deal_id long, state_id int, ts timestamp_ntz"
-    stream = hourly.first_qualification(_files(spark, tmp_path, parts, schema), "40 days")
-    got = hourly.drain_append(stream, "test-first")
-    rows = [r for part in parts for r in part]
-    log = spark.createDataFrame(rows, schema)
-    want = events.first_event(log, (20, 63)).withColumn("first_at", F.col("first_at").cast("timestamp"))
-    key = lambda r: tuple(r)
-    assert sorted(map(key, got.select("country", "deal_id", "event_ts").collect())) == sorted(
-        map(key, want.select("country", "deal_id", "first_at").collect())
-    )
+    old = [[("CO", 1, 20, _at(9, 1)), ("CO", 2, 7, _at(1, 1))], [("CO", 1, 63, _at(8, 1)), ("CO", 2, 20, _at(2, 1))]]
+    new = [("CO", 1, 20, _at(3, 1)), ("CO", 3, 63, _at(3, 2)), ("CO", None, 63, _at(3, 2)), ("CO", 2, 20, _at(7, 1))]
+    seen = []
+
+    def first(batch):
+        seen.append(batch.count())
+        return hourly.first_per_deal(batch)
+
+    def job():
+        stored = hourly.drain(hourly.qualifications(stream), f"{tmp_path}/job", first)
+        return sorted(tuple(r) for r in hourly.first_per_deal(stored).collect())
+
+    stream = _files(spark, tmp_path, old, schema)
+    assert job() == [("CO", 1, _at(8, 1)), ("CO", 2, _at(2, 1))]
+    spark.createDataFrame(new, schema).coalesce(1).write.parquet(f"{tmp_path}/in/f9")
+    assert sum(seen) == 3
+    log = spark.createDataFrame([*old[0], *old[1], *new], schema)
+    want = sorted(tuple(r) for r in events.first_event(log, (20, 63)).collect())
+    assert job() == want
+    assert sum(seen) == 6
+
+
+def test_whole_numbers_keep_all_digits(spark, tmp_path):
+    path = tmp_path / "big.json"
+    path.write_text('{"n":"9007199254740993"}\n{"n":"-7.9"}\n', encoding="utf-8")
+    assert sorted(r.n for r in load_result_rows(spark, str(path), "n long").collect()) == [-7, 9007199254740993]

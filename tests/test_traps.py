@@ -59,6 +59,29 @@ def test_latest_state_orders_by_time_then_position(spark):
     assert out == {1: 7, 2: 9}
 
 
+def test_latest_state_takes_any_position_state_and_time(spark):
+    def at(text):
+        return dt.datetime.fromisoformat(text)
+
+    rows = [
+        (1, 20, at("2026-01-01T00:00:00"), 5000), (1, 3, at("2026-01-01T00:00:00.001"), 1),
+        (2, 7, at("2026-01-01T00:00:00.000001"), 9), (2, 20, at("2026-01-01T00:00:00.000002"), 1),
+        (3, 1500, at("2026-01-01T00:00:00"), 1),
+        (4, 7, at("2026-01-01T00:00:00"), 1), (4, 20, at("2026-01-02T00:00:00"), None),
+        (5, 3, at("1950-01-01T00:00:00"), 1), (5, 7, at("1960-01-01T00:00:00"), 1),
+    ]
+    log = spark.createDataFrame(
+        [("CO", "mm", *r) for r in rows],
+        "country string, track string, deal_id long, state_id int, ts timestamp_ntz, seq int",
+    )
+    want = {1: 3, 2: 20, 3: 1500, 4: 20, 5: 7}
+    assert {r.deal_id: r.state_id for r in events.latest_state(log).collect()} == want
+    assert {r.deal_id: r.state_id for r in events.deal_summary(log).collect()} == want
+    assert {r.deal_id: r.state_id for r in events.deal_transitions(log).collect()} == want
+    current = spark.createDataFrame([("CO", 1, 9, 4)], "country string, deal_id long, state_id int, inmo_state_id int")
+    assert [r.state_id for r in events.current_state(log, current).collect()] == [9]
+
+
 def test_rescue_needs_a_later_qualification(spark):
     before = log_of(spark, (1, 20, "2026-01-01"), (1, 7, "2026-01-02"))
     after = before.union(log_of(spark, (1, 20, "2026-01-03")))
