@@ -13,7 +13,7 @@ from funnelloom.streaming import hourly
 
 @query(
     "stream_hourly_counts",
-    """WITH x AS (SELECT country, created_at - to_hours(CASE country WHEN 'CO' THEN 5 ELSE 6 END) AS ts,
+    """WITH x AS (SELECT country, deal_id, created_at - to_hours(CASE country WHEN 'CO' THEN 5 ELSE 6 END) AS ts,
       CASE source_id WHEN 3 THEN 'WEB' WHEN 7 THEN 'Estudio' WHEN 20 THEN 'CRM' WHEN 35 THEN 'Comercial'
         WHEN 39 THEN 'Broker' WHEN 46 THEN 'Propiedades' WHEN 47 THEN 'Leadforms' END AS source
       FROM v_hourly_leads WHERE deal_id IS NOT NULL AND source_id IN (3,7,20,35,39,46,47))

@@ -23,6 +23,8 @@ from funnelloom.spec import (
 
 ZONE = "America/Bogota"
 NO_DEAL = "completions_no_deal"
+STAGE_BITS = {stage: 1 << i for i, stage in enumerate(dict.fromkeys(s for _, s in FORM_PATHS))}
+LAST_STAGE = dict(FORM_PATHS)[FORM_LAST_PATH]
 LEAD = "lead_hubspot"
 
 
@@ -61,10 +63,48 @@ def path_to_stage(path: Column) -> Column:
     return case_map(path, dict(FORM_PATHS))
 
 
+def visitor_days(views: DataFrame) -> DataFrame:
+    """One row per day, source and visitor; ``seen`` has a bit per stage reached.
+
+    All that is counted later is counted on these rows, so the page views are grouped
+    once and a stage's distinct visitors are a plain sum.
+    """
+    bits = case_map(F.col("path"), {path: STAGE_BITS[stage] for path, stage in FORM_PATHS})
+    return views.groupBy("d", "source", "anonymous_id").agg(F.bit_or(bits).alias("seen"))
+
+
+def _reached(stage: str) -> Column:
+    return F.coalesce(F.col("seen").bitwiseAND(F.lit(STAGE_BITS[stage])) != 0, F.lit(False))
+
+
 def stages_daily(views: DataFrame) -> DataFrame:
     """Distinct visitors per day, source and stage."""
-    rows = views.withColumn("stage", path_to_stage(F.col("path"))).where(F.col("stage").isNotNull())
-    return rows.groupBy("d", "source", "stage").agg(F.count_distinct("anonymous_id").alias("n"))
+    sums = visitor_days(views).groupBy("d", "source").agg(
+        *[F.sum(_reached(s).cast("long")).alias(s) for s in STAGE_BITS]
+    )
+    cells = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("n")) for s in STAGE_BITS]
+    return sums.select("d", "source", F.inline(F.array(*cells))).where("n > 0")
+
+
+def _sessions(select_content: DataFrame, zone: str) -> DataFrame:
+    return (
+        select_content.where(F.col("anonymous_id").isNotNull())
+        .select("anonymous_id", local_date_tz(utc("ts"), zone).alias("d_form"), "backbone_uuid")
+        .distinct()
+    )
+
+
+def _resolve(sessions: DataFrame, bridge: DataFrame, deals: DataFrame, leads: DataFrame) -> DataFrame:
+    """Sessions followed to their deal, its asset and the asset's lead days; every hop
+    is a left join, so an unresolved session keeps a row."""
+    hop = bridge.where(F.col("uuid").isNotNull()).select(F.col("uuid").alias("backbone_uuid"), "deal_uuid")
+    chain = left_join_spread(sessions, hop, on=["backbone_uuid"], nullable="backbone_uuid")
+    known = deals.where(F.col("deal_uuid").isNotNull()).select("deal_uuid", "asset_id")
+    chain = left_join_spread(chain, known, on=["deal_uuid"], nullable="deal_uuid")
+    days = leads.where(F.col("asset_id").isNotNull()).select(
+        "asset_id", F.to_date("created_at").alias("d_lead")
+    ).distinct()
+    return left_join_spread(chain, days, on=["asset_id"], nullable="asset_id")
 
 
 def chain_session_to_deal(
@@ -73,52 +113,63 @@ def chain_session_to_deal(
 ) -> DataFrame:
     """Completions followed through session and bridge to the deal and its lead day.
 
-    Every hop is a left join, so an unresolved completion keeps a row. Sessions and lead
-    days are reduced to distinct rows first: only distinct visitors and assets are
-    counted later, and a repeated row would only multiply.
+    Sessions and lead days are reduced to distinct rows first: only distinct visitors
+    and assets are counted later, and a repeated row would only multiply.
     """
     done = (
         views.where(F.col("path") == FORM_LAST_PATH)
         .select(F.col("d").alias("d_form"), "source", "anonymous_id")
         .distinct()
     )
-    sessions = (
-        select_content.where(F.col("anonymous_id").isNotNull())
-        .select("anonymous_id", local_date_tz(utc("ts"), zone).alias("d_form"), "backbone_uuid")
-        .distinct()
-    )
     # One visitor may own much of a day's sessions. As an inner join that side can be
     # split at run time; a left join could split only the other one. Completions
     # without any session follow by an anti join on distinct keys.
-    on = ["anonymous_id", "d_form"]
+    sessions, on = _sessions(select_content, zone), ["anonymous_id", "d_form"]
     lone = done.join(sessions.select(*on).distinct(), on, "left_anti")
     chain = done.join(sessions, on).unionByName(
         lone.withColumn("backbone_uuid", F.lit(None).cast("string"))
     )
-    hop = bridge.where(F.col("uuid").isNotNull()).select(F.col("uuid").alias("backbone_uuid"), "deal_uuid")
-    chain = left_join_spread(chain, hop, on=["backbone_uuid"], nullable="backbone_uuid")
-    known = deals.where(F.col("deal_uuid").isNotNull()).select("deal_uuid", "asset_id")
-    chain = left_join_spread(chain, known, on=["deal_uuid"], nullable="deal_uuid")
-    days = leads.where(F.col("asset_id").isNotNull()).select(
-        "asset_id", F.to_date("created_at").alias("d_lead")
-    ).distinct()
-    return left_join_spread(chain, days, on=["asset_id"], nullable="asset_id")
+    return _resolve(chain, bridge, deals, leads)
 
 
-def chain_counts(chain: DataFrame) -> DataFrame:
-    """Matched leads and unmatched completions per day and source. One visitor can be in
-    both: matched by one session, unmatched by another."""
+def form_counts(
+    days: DataFrame, select_content: DataFrame, bridge: DataFrame, deals: DataFrame, leads: DataFrame,
+    zone: str = ZONE,
+) -> DataFrame:
+    """Long rows (d, source, stage, n) of the tracked sources from one pass.
+
+    Visitor days and the resolved sessions of completions meet in one grouping: by
+    visitor they tell the stages reached and whether any session (or the lack of one)
+    leaves the completion unmatched; by asset they tell the matched leads. The chain is
+    run once, and completions without a session need no anti join: they are the
+    visitor days that no session row has joined. One visitor can be both matched by one
+    session and unmatched by another.
+    """
+    done = days.where(_reached(LAST_STAGE)).select(F.col("d").alias("d_form"), "source", "anonymous_id")
+    chain = _resolve(done.join(_sessions(select_content, zone), ["anonymous_id", "d_form"]), bridge, deals, leads)
     hit = F.coalesce(F.col("asset_id").isNotNull() & (F.col("d_lead") == F.col("d_form")), F.lit(False))
-    keys = (F.col("d_form").alias("d"), "source")
-    leads = (
-        chain.where(hit).groupBy(*keys).agg(F.count_distinct("asset_id").alias("n"))
-        .withColumn("stage", F.lit(LEAD))
+    followed = F.array(
+        F.struct(F.lit(LEAD).alias("kind"), F.when(hit, F.col("asset_id").cast("string")).alias("id"), F.lit(False).alias("lost")),
+        F.struct(F.lit("visitor").alias("kind"), F.col("anonymous_id").cast("string").alias("id"), (~hit).alias("lost")),
+    )
+    rows = (
+        chain.select(F.col("d_form").alias("d"), "source", F.inline(followed))
+        .where("id IS NOT NULL")
+        .withColumns({"seen": F.lit(None).cast("int"), "session": F.lit(True)})
     )
-    lost = (
-        chain.where(~hit).groupBy(*keys).agg(F.count_distinct("anonymous_id").alias("n"))
-        .withColumn("stage", F.lit(NO_DEAL))
+    own = days.select(
+        "d", "source", F.lit("visitor").alias("kind"), F.col("anonymous_id").cast("string").alias("id"),
+        F.lit(False).alias("lost"), "seen", F.lit(False).alias("session"),
     )
-    return leads.unionByName(lost)
+    met = own.unionByName(rows).groupBy("d", "source", "kind", "id").agg(
+        F.bit_or("seen").alias("seen"), F.bool_or("lost").alias("lost"), F.bool_or("session").alias("session")
+    )
+    visitor = F.col("kind") == "visitor"
+    lost = visitor & (F.col("lost") | (_reached(LAST_STAGE) & ~F.col("session")))
+    sums = {s: visitor & _reached(s) for s in STAGE_BITS} | {LEAD: ~visitor, NO_DEAL: lost}
+    daily = met.groupBy("d", "source").agg(*[F.sum(c.cast("long")).alias(s) for s, c in sums.items()])
+    cells = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("n")) for s in sums]
+    return daily.select("d", "source", F.inline(F.array(*cells))).where("n > 0")
 
 
 def referral_leads(crm_deals: DataFrame, as_of: dt.date, days: int = 180, zone: str = ZONE) -> DataFrame:
@@ -142,11 +193,9 @@ def web_form_funnel(
     views = scan_pageviews(pageviews, as_of)
     # A session belongs to the local day of a page view, so it lies in the same window.
     select_content = select_content.where(_near("ts", as_of - dt.timedelta(days=180), as_of))
-    chain = chain_session_to_deal(views, select_content, bridge, deals, leads)
-    return (
-        stages_daily(views)
-        .unionByName(chain_counts(chain))
-        .unionByName(referral_leads(crm_deals, as_of))
+    counted = form_counts(visitor_days(views), select_content, bridge, deals, leads)
+    return counted.select("d", "source", "stage", "n").unionByName(
+        referral_leads(crm_deals, as_of).select("d", "source", "stage", "n")
     )
 
 

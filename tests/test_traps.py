@@ -348,9 +348,18 @@ def test_one_visitor_can_be_matched_and_unmatched(spark):
     bridge = spark.createDataFrame([("u1", "d1")], "uuid string, deal_uuid string")
     deals = spark.createDataFrame([("d1", 9)], "deal_uuid string, asset_id long")
     leads = spark.createDataFrame([(9, day("2026-05-10"))], "asset_id long, created_at date")
-    chain = webform.chain_session_to_deal(views, content, bridge, deals, leads)
-    out = {r.stage: r.n for r in webform.chain_counts(chain).collect()}
-    assert out == {"lead_hubspot": 1, "completions_no_deal": 1}
+    out = {r.stage: r.n for r in webform.form_counts(webform.visitor_days(views), content, bridge, deals, leads).collect()}
+    assert out == {"felicitaciones": 1, "lead_hubspot": 1, "completions_no_deal": 1}
+
+
+def test_web_form_reads_each_table_once(spark, tmp_path):
+    from funnelloom.catalog.today import _funnel
+    from funnelloom.sources.testdata import Tables
+
+    df = _funnel(Tables(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Scan parquet") <= 6 and "BroadcastNestedLoop" not in plan
 
 
 def test_untracked_source_has_null_stages_and_tracked_ones_zero(spark):
