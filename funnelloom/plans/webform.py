@@ -70,7 +70,10 @@ def visitor_days(views: DataFrame) -> DataFrame:
     once and a stage's distinct visitors are a plain sum.
     """
     bits = case_map(F.col("path"), {path: STAGE_BITS[stage] for path, stage in FORM_PATHS})
-    return views.groupBy("d", "source", "anonymous_id").agg(F.bit_or(bits).alias("seen"))
+    # A join on these rows would add the same test to one of their two uses only, and
+    # the scan and grouping behind them could not be shared.
+    known = views.where(F.col("d").isNotNull() & F.col("anonymous_id").isNotNull())
+    return known.groupBy("d", "source", "anonymous_id").agg(F.bit_or(bits).alias("seen"))
 
 
 def _reached(stage: str) -> Column:
