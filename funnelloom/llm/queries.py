@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelloom.llm import decontaminate, html_text, line_templates, packing, quality_nbsvm, rule_ledger, simhash, suffix_dedup, token_counts, token_files
+from funnelloom.llm import (
+    decontaminate,
+    html_text,
+    line_templates,
+    packing,
+    prefix_trie,
+    quality_nbsvm,
+    rule_ledger,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_files,
+)
 from funnelloom.llm.common import shared_path, table
 from funnelloom.llm.tokens import public_tokenizer
 
@@ -62,6 +74,11 @@ def op10_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    found = prefix_trie.sequences(table(spark, folder, "conversations"))
+    return prefix_trie.nodes(prefix_trie.with_shared_heads(found))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -73,6 +90,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_line_templates": op9_line_templates,
     "op10_rule_ledger": op10_rule_ledger,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {}
@@ -126,3 +144,32 @@ SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE CAST(len(ls) AS BIG
             ELSE array_to_string(list_filter(ls, lambda s, i: NOT list_contains(ps, i)), chr(10)) END AS text
 FROM d LEFT JOIN k USING (r)
 """
+
+_CRC_STEPS = """flatten([[4294967295], flatten(list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+  lambda i: [CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))])"""
+ORACLES["op12_prefix_trie"] = f"""
+WITH t AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, length(text) AS chars, md5(concat(length(role), ':', role, text)) AS digest, turn FROM t),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS p FROM k),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+             xor(list_reduce({_CRC_STEPS}, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+               WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 6 AS h FROM t),
+own AS (SELECT c.conv_id, 1 AS side, p, digest, chars FROM c JOIN n USING (conv_id) WHERE p > h
+        UNION ALL SELECT c.conv_id, 0, p, digest, chars FROM c JOIN n ON n.conv_id = c.base WHERE p <= h),
+s AS (SELECT c.conv_id, coalesce(list(digest ORDER BY side, p) FILTER (digest IS NOT NULL), []) AS ks,
+             coalesce(list(chars ORDER BY side, p) FILTER (digest IS NOT NULL), []) AS cs
+      FROM c LEFT JOIN own USING (conv_id) GROUP BY c.conv_id),
+m AS (SELECT conv_id, ks, cs, unnest(range(0, len(ks) + 1)) AS d FROM s),
+node AS (SELECT ks[1:d] AS pre, d, min(conv_id) AS conv_id, count(*) AS n, CASE WHEN d > 0 THEN any_value(cs[d]) ELSE 0 END AS chars,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ks) = d), '')) AS sha
+         FROM m GROUP BY ks[1:d], d),
+kids AS (SELECT pre[1:d - 1] AS pre, count(*) AS kids FROM node WHERE d > 0 GROUP BY 1),
+flat AS (SELECT node.*, coalesce(kids, 0) AS kids FROM node LEFT JOIN kids USING (pre)),
+up AS (SELECT pre[1:a] AS pre, sum((n - 1) * chars) AS saved, sum(CAST(kids = 0 AS INT)) AS leaves
+       FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM flat) GROUP BY 1)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, y.conv_id AS parent_conv_id, CAST(x.n AS BIGINT) AS n_convs,
+       CAST(x.kids AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       x.sha AS ends_sha256
+FROM flat x JOIN up USING (pre) LEFT JOIN flat y ON x.d > 0 AND y.d = x.d - 1 AND y.pre = x.pre[1:x.d - 1]
+"""
