@@ -10,6 +10,7 @@ from funnelloom.llm import (
     html_text,
     line_templates,
     packing,
+    phrase_graph,
     prefix_trie,
     quality_nbsvm,
     rule_ledger,
@@ -74,6 +75,10 @@ def op10_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_phrase_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_graph.collocations(table(spark, folder, "documents"), top=2000, min_count=30)
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = prefix_trie.sequences(table(spark, folder, "conversations"))
     return prefix_trie.nodes(prefix_trie.with_shared_heads(found))
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_line_templates": op9_line_templates,
     "op10_rule_ledger": op10_rule_ledger,
+    "op11_phrase_graph": op11_phrase_graph,
     "op12_prefix_trie": op12_prefix_trie,
 }
 
@@ -145,6 +151,29 @@ SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE CAST(len(ls) AS BIG
 FROM d LEFT JOIN k USING (r)
 """
 
+ORACLES["op11_phrase_graph"] = """
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM piece),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, ws[i:i + k - 1] AS g, count(*) AS f
+      FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), (VALUES (1), (2), (3), (4)) t(k)
+      WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+cand AS (SELECT * FROM g WHERE k >= 2 AND f >= 30),
+inside AS (SELECT lang, ws[i:i + k - 1] AS g, max(f) AS most
+           FROM (SELECT lang, g AS ws, f, k AS size, unnest(range(1, k)) AS i FROM cand WHERE k > 2), (VALUES (2), (3)) t(k)
+           WHERE k < size AND i + k - 1 <= size GROUP BY ALL),
+free AS (SELECT cand.* FROM cand LEFT JOIN inside USING (lang, g) WHERE most IS NULL OR 100 * most < 80 * f),
+cut AS (SELECT lang, g, f, k, unnest(range(1, k)) AS c FROM free),
+met AS (SELECT cut.lang, cut.g, cut.f AS a, c, x.f AS l, y.f AS r,
+               CAST(CAST(2000000 AS HUGEINT) * cut.f // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+        FROM cut JOIN g x ON x.lang = cut.lang AND x.g = cut.g[1:c] JOIN g y ON y.lang = cut.lang AND y.g = cut.g[c + 1:cut.k]),
+low AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM low),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 _CRC_STEPS = """flatten([[4294967295], flatten(list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
   lambda i: [CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))])"""
 ORACLES["op12_prefix_trie"] = f"""

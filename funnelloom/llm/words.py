@@ -103,3 +103,27 @@ def window_ranks(codes: np.ndarray, size: int) -> np.ndarray:
         _, ranks = np.unique((ranks[:-step] << 32) | ranks[step:], return_inverse=True)
         step *= 2
     return ranks
+
+
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_UNDO = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+
+
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """Every bit of a 64-bit number spread over all others."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span, alike wherever the bytes stand."""
+    terms = (data.astype(np.uint64) + np.uint64(1)) * _powers(_MULTIPLIER, len(data))
+    upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+    return scrambled((upto[ends] - upto[starts]) * _powers(_UNDO, len(data) + 1)[starts])
