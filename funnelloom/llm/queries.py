@@ -11,6 +11,7 @@ from funnelloom.llm import (
     line_templates,
     packing,
     phrase_graph,
+    pii_boost,
     prefix_trie,
     quality_nbsvm,
     rule_ledger,
@@ -84,6 +85,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.nodes(prefix_trie.with_shared_heads(found))
 
 
+def op13_pii_boost(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_boost.found(table(spark, folder, "documents"), pii_boost.fit(spark))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +102,7 @@ QUERIES = {
     "op10_rule_ledger": op10_rule_ledger,
     "op11_phrase_graph": op11_phrase_graph,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_pii_boost": op13_pii_boost,
 }
 
 ORACLES: dict[str, str] = {}
