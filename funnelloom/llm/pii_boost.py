@@ -212,12 +212,21 @@ MAIL_FEATURES = ("at sign", "dot", "last label", "labels", "local size", "other
 def _number_candidates(r: Column) -> Column:
     """Stretches of a run's digit groups as ``kind, at, end, f``; places from the text's start."""
     digits, marks = F.regexp_extract_all(r["run"], F.lit("[0-9]+"), F.lit(0)), F.split(r["run"], "[0-9]+")
-    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<struct<d:string,mark:string,at:int>>").alias("out"))
+    group = "struct<d:string,mark:string,at:int,seen:int,ip:boolean,card:boolean>"
+    zero = F.struct(*[F.lit(0).alias(c) for c in ("sum", "seen", "ip", "card")], F.array().cast(f"array<{group}>").alias("out"))
 
     def step(a: Column, z: Column) -> Column:
-        at = a["sum"] + F.length(z["mark"])
-        one = F.struct(z["d"].alias("d"), z["mark"].alias("mark"), at.alias("at"))
-        return F.struct((at + F.length(z["d"])).alias("sum"), F.concat(a["out"], F.array(one)).alias("out"))
+        """Base spans are made of whole groups and come in order, so two places in their lists do."""
+        at, n = a["sum"] + F.length(z["mark"]), F.length(z["d"])
+        past = {c: F.when(F.get(r[f"{c}s"], a[c])["end"] <= at, a[c] + 1).otherwise(a[c]) for c in ("ip", "card")}
+        inside = {c: F.coalesce(F.get(r[f"{c}s"], k)["at"] <= at, F.lit(False)) for c, k in past.items()}
+        one = F.struct(
+            z["d"].alias("d"), z["mark"].alias("mark"), at.alias("at"), a["seen"].alias("seen"), inside["ip"].alias("ip"), inside["card"].alias("card")
+        )
+        return F.struct(
+            (at + n).alias("sum"), (a["seen"] + n).alias("seen"), past["ip"].alias("ip"), past["card"].alias("card"),
+            F.concat(a["out"], F.array(one)).alias("out"),
+        )
 
     zipped = F.filter(F.arrays_zip(digits.alias("d"), marks.alias("mark")), lambda z: z["d"].isNotNull())
     groups = F.aggregate(zipped, zero, step, lambda a: a["out"])
@@ -226,57 +235,56 @@ def _number_candidates(r: Column) -> Column:
 
 
 def _stretches(r: Column, groups: Column) -> Column:
-    def of(i: Column, j: Column) -> Column:
-        part = F.slice(groups, i + 1, j - i + 1)
-        first, last = F.get(groups, i), F.get(groups, j)
-        between = F.array_join(F.transform(F.slice(groups, i + 2, j - i), lambda x: x["mark"]), "|")
+    top = F.size(groups) - 1
+
+    def of(i: Column, k: Column, few: Column) -> Column:
+        """Groups i to i + k; ``few`` holds group i and those after it."""
+        part, first, last = F.slice(few, F.lit(1), k + 1), F.get(few, F.lit(0)), F.get(few, k)
+        between = F.array_join(F.transform(F.slice(few, F.lit(2), k), lambda x: x["mark"]), "|")
         end = last["at"] + F.length(last["d"])
         before = F.when(i == 0, F.substring(r["before"], -1, 1)).otherwise(F.lit(None))
         return F.struct(
-            i.alias("i"), j.alias("j"), F.array_join(F.transform(part, lambda x: x["d"]), "").alias("d"), part.alias("part"),
+            i.alias("i"), F.array_join(F.transform(part, lambda x: x["d"]), "").alias("d"), part.alias("part"),
             between.alias("between"), first["at"].alias("at"), end.alias("end"),
             F.when(F.endswith(first["mark"], F.lit("+")), 1)
             .when(F.endswith(first["mark"], F.lit("(")) | (before == "("), 2).otherwise(0).alias("lead"),
             F.when(i > 0, 2).otherwise(_mark(before)).alias("left"),
-            F.when(j < F.size(groups) - 1, 2).otherwise(_mark(F.substring(r["after"], 1, 1))).alias("right"),
+            F.when(i + k < top, 2).otherwise(_mark(F.substring(r["after"], 1, 1))).alias("right"),
         )
 
-    top = F.size(groups) - 1
-    spans = F.flatten(
-        F.transform(F.sequence(F.lit(0), top), lambda i: F.transform(F.sequence(i, F.least(i + GROUPS - 1, top)), lambda j: of(i, j)))
-    )
+    def begun(i: Column) -> Column:
+        # Single look-ups: a slice of the whole list would copy it for every stretch.
+        few = F.array(*[F.get(groups, i + k) for k in range(GROUPS)])
+        sizes = F.sequence(F.lit(0), F.least(top - i, F.lit(GROUPS - 1)))
+        return F.flatten(F.transform(F.array(few), lambda e: F.transform(sizes, lambda k: of(i, k, e))))
+
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), top), begun))
     dotted = r"^\.\|\.\|\.$"
     likely = F.filter(spans, lambda s: F.length(s["d"]).between(7, 19) | s["between"].rlike(dotted))
 
     def kinds(s: Column) -> Column:
-        n, size = F.length(s["d"]), s["j"] - s["i"] + 1
+        n, size = F.length(s["d"]), F.size(s["part"])
         longest = F.array_max(F.transform(s["part"], lambda x: F.length(x["d"])))
         shape = F.array_join(F.transform(s["part"], lambda x: F.length(x["d"]).cast("string")), "")
         shape = (
             F.when(shape.rlike("^[0-9]?334$"), 1).when(shape.rlike("^(4444|465|16|15)$"), 2).when(shape.rlike("^[1-4]?(23|33|34|222|322|333|2222|3333|44|332|333?4)$"), 3)
             .when(shape.rlike("^1+$"), 4).otherwise(0)
         )
-        rest_before = F.aggregate(F.slice(groups, F.lit(1), s["i"]), F.lit(0), lambda a, x: a + F.length(x["d"]))
+        rest_before = F.get(s["part"], F.lit(0))["seen"]
+        in_ip, in_card = F.exists(s["part"], lambda x: x["ip"]), F.exists(s["part"], lambda x: x["card"])
         marks = F.when(s["between"] == "", 0).when(s["between"].rlike(r"^([ .-])(\|\1)*$"), 1).when(s["between"].rlike(r"^[ ().|-]*$"), 2).otherwise(3)
         marks = F.when((marks == 2) & s["between"].rlike(r"[ .-]{2}|\([^|]*\||\|\|"), 3).otherwise(marks)
         few = lambda c: F.when(c == 0, 0).when(c < 7, 1).otherwise(2)
         luhn = _luhn(s["d"])
 
-        def one(kind: int, wanted: Column, others: tuple[str, ...], takes_lead: bool) -> Column:
-            lead = F.when(s["lead"] > 0, 1).otherwise(0) if takes_lead else F.lit(0)
-            at, end = s["at"] - lead, s["end"]
-            other = F.lit(False)
-            for field in others:
-                other = other | _overlaps(r[field], at, end)
-            if kind != PHONE:
-                other = other | (r["phone"])
+        def one(kind: int, wanted: Column, own: Column, other: Column, takes_lead: bool) -> Column:
+            at, end = s["at"] - (F.when(s["lead"] > 0, 1).otherwise(0) if takes_lead else F.lit(0)), s["end"]
             f = F.array(
                 F.lit(kind), n, size, F.when(luhn, 1).otherwise(0), s["lead"], F.least(F.length(F.get(s["part"], F.lit(0))["d"]), F.lit(9)),
                 F.least(F.length(F.element_at(s["part"], -1)["d"]), F.lit(9)), longest, marks, s["left"], s["right"],
                 F.when(s["i"] == 0, _word_class(r["before"])).otherwise(0), F.when(other, 1).otherwise(0),
                 few(rest_before), few(r["n"] - rest_before - n), F.substring(s["d"], 1, 1).cast("int"), shape,
             )
-            own = {IP: _overlaps(r["ips"], at, end), CARD: _overlaps(r["cards"], at, end), PHONE: r["phone"]}[kind]
             return F.when(
                 wanted & ~own,
                 F.struct(F.lit(kind).alias("kind"), (r["at"] + at).alias("at"), (r["at"] + end).alias("end"), f.alias("f")),
@@ -284,9 +292,9 @@ def _stretches(r: Column, groups: Column) -> Column:
 
         fits = F.forall(s["part"], lambda x: F.when(F.length(x["d"]) <= 3, x["d"].cast("int") <= 255).otherwise(False))
         return F.array(
-            one(PHONE, n.between(7, 15), ("ips", "cards"), True),
-            one(CARD, n.between(13, 19), ("ips",), False),
-            one(IP, s["between"].rlike(dotted) & fits, ("cards",), False),
+            one(PHONE, n.between(7, 15), r["phone"], in_ip | in_card, True),
+            one(CARD, n.between(13, 19), in_card, in_ip | r["phone"], False),
+            one(IP, s["between"].rlike(dotted) & fits, in_ip, in_card | r["phone"], False),
         )
 
     return F.filter(F.flatten(F.transform(likely, kinds)), lambda c: c.isNotNull())
