@@ -22,7 +22,7 @@ from funnelloom.streaming import hourly
 )
 def stream_hourly_counts(t):
     stream = hourly.hourly_deals(stream_of(t, "hourly_leads"))
-    out = hourly.hourly_counts(hourly.drain(stream, scratch_path(t.spark, "hourly-deals")))
+    out = hourly.drain_counts(stream, scratch_path(t.spark, "hourly-deals"))
     return out.withColumn("local_date", F.col("local_date").cast("string"))
 
 
@@ -33,6 +33,5 @@ def stream_hourly_counts(t):
 )
 def stream_first_qualification(t):
     stream = hourly.qualifications(stream_of(t, "hourly_log"))
-    stored = hourly.drain(stream, scratch_path(t.spark, "qualifications"), hourly.first_per_deal)
-    first = hourly.first_per_deal(stored)
+    first = hourly.drain_first(stream, scratch_path(t.spark, "qualifications"))
     return first.select("country", "deal_id", F.expr(unix_micros_sql("event_ts", first.schema["event_ts"].dataType)).alias("event_us"))

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelloom.functions.text import label_source
 from funnelloom.operators.channels import per_country
 from funnelloom.spec import LABELS_HOURLY, QUALIFIED_MM
+from funnelloom.streaming.runs import MergedRuns
 
 LATENESS = "2 hours"
 HOUR = ("country", "local_date", "hour", "source")
@@ -47,7 +48,7 @@ def hourly_deals(leads: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def hourly_counts(deals: DataFrame) -> DataFrame:
-    """Distinct deals per country, local hour and source of the stored rows."""
+    """Distinct deals per country, local hour and source of rows that have each once."""
     return deals.groupBy(*HOUR).agg(F.count("*").alias("n"))
 
 
@@ -64,23 +65,26 @@ def first_per_deal(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*DEAL).agg(F.min("event_ts").alias("event_ts"))
 
 
-def drain(stream: DataFrame, folder: str, per_batch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """Run a stream over all available input and return the rows stored so far, of this
-    run and earlier ones.
+def drain_counts(deals: DataFrame, folder: str) -> DataFrame:
+    """Hourly counts of all batches so far. The stream's state lets a deal through once per
+    hour and source, so the batches' counts add up; deals themselves are not stored."""
+    return _drain(deals, folder, hourly_counts, HOUR, {"n": F.sum})
 
-    A batch overwrites its own part, so one that runs again after a failure leaves
-    the same rows.
-    """
-    spark = stream.sparkSession
-    out = f"{folder.rstrip('/')}/out"
-
-    def store(batch: DataFrame, number: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    _run(stream.writeStream.foreachBatch(store).outputMode("append"), folder.rstrip("/"))
-    return spark.read.schema(stream.schema).option("basePath", out).parquet(out).drop("batch")
+def drain_first(log: DataFrame, folder: str) -> DataFrame:
+    """First qualification per deal of all batches so far, one stored row or two per deal."""
+    return _drain(log, folder, first_per_deal, DEAL, {"event_ts": F.min})
 
 
-def _run(writer, base: str) -> None:
-    query = writer.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
-    query.awaitTermination()
+def _drain(
+    stream: DataFrame, folder: str, per_batch: Callable[[DataFrame], DataFrame], keys: tuple[str, ...],
+    merge: dict[str, Callable[[str], Column]],
+) -> DataFrame:
+    """Run a stream over all available input, merge its batches into the stored result and
+    return that."""
+    spark, base = stream.sparkSession, folder.rstrip("/")
+    empty = spark.createDataFrame([], stream.schema)
+    table = MergedRuns(spark, f"{base}/runs", per_batch(empty).schema, keys, merge)
+    writer = stream.writeStream.foreachBatch(lambda batch, number: table.add(per_batch(batch), number)).outputMode("append")
+    writer.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
+    return table.read()

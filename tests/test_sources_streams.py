@@ -1,6 +1,9 @@
 """Stored forms and streams."""
 
 import datetime as dt
+import random
+
+from pyspark.sql import functions as F
 
 from funnelloom.operators import events, targets
 from funnelloom.session import scratch_path
@@ -8,6 +11,7 @@ from funnelloom.sources.readers import load_result_rows
 from funnelloom.sources.target_sheet import read_sheet_csv
 from funnelloom.sources.writers import nested_by_day, ordered_json, round_trip_json
 from funnelloom.streaming import hourly
+from funnelloom.streaming.runs import MergedRuns
 
 
 def test_sheet_is_read_in_file_order(spark, tmp_path):
@@ -85,7 +89,7 @@ def test_stream_counts_over_several_batches_equal_batch(spark, tmp_path):
     ]
     schema = "country string, deal_id long, created_at timestamp_ntz, source_id int"
     stream = hourly.hourly_deals(_files(spark, tmp_path, parts, schema))
-    out = hourly.hourly_counts(hourly.drain(stream, f"{tmp_path}/job"))
+    out = hourly.drain_counts(stream, f"{tmp_path}/job")
     got = sorted((r.country, r.hour, r.source, r.n) for r in out.collect())
     assert got == [("CO", 11, "WEB", 3), ("CO", 12, "WEB", 1), ("MX", 11, "Propiedades", 1)]
 
@@ -95,24 +99,51 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     schema = "country string, deal_id long, state_id int, ts timestamp_ntz"
     old = [[("CO", 1, 20, _at(9, 1)), ("CO", 2, 7, _at(1, 1))], [("CO", 1, 63, _at(8, 1)), ("CO", 2, 20, _at(2, 1))]]
     new = [("CO", 1, 20, _at(3, 1)), ("CO", 3, 63, _at(3, 2)), ("CO", None, 63, _at(3, 2)), ("CO", 2, 20, _at(7, 1))]
-    seen = []
-
-    def first(batch):
-        seen.append(batch.count())
-        return hourly.first_per_deal(batch)
 
     def job():
-        stored = hourly.drain(hourly.qualifications(stream), f"{tmp_path}/job", first)
-        return sorted(tuple(r) for r in hourly.first_per_deal(stored).collect())
+        return sorted(tuple(r) for r in hourly.drain_first(hourly.qualifications(stream), f"{tmp_path}/job").collect())
 
     stream = _files(spark, tmp_path, old, schema)
     assert job() == [("CO", 1, _at(8, 1)), ("CO", 2, _at(2, 1))]
     spark.createDataFrame(new, schema).coalesce(1).write.parquet(f"{tmp_path}/in/f9")
-    assert sum(seen) == 3
     log = spark.createDataFrame([*old[0], *old[1], *new], schema)
     want = sorted(tuple(r) for r in events.first_event(log, (20, 63)).collect())
     assert job() == want
-    assert sum(seen) == 6
+    runs = sorted(p.name for p in (tmp_path / "job" / "runs").iterdir())
+    assert any(r.endswith("-2") for r in runs) and not any(r.endswith("-3") for r in runs)
+
+
+def test_merged_runs_stay_small_and_right_over_fifty_batches(spark, tmp_path):
+    rnd = random.Random(3)
+    schema = spark.createDataFrame([], "country string, deal_id long, event_ts long").schema
+    table = MergedRuns(spark, f"{tmp_path}/runs", schema, ("country", "deal_id"), {"event_ts": F.min})
+    best, most = {}, 0
+    for batch in range(50):
+        rows = {("CO", rnd.randint(1, 60)): rnd.randint(0, 10_000) for _ in range(20)}
+        df = spark.createDataFrame([(*k, v) for k, v in rows.items()], schema).coalesce(1)
+        table.add(df, batch)
+        if batch % 9 == 0:
+            table.add(df, batch)  # the same batch after a failure
+        for k, v in rows.items():
+            best[k] = min(v, best.get(k, v))
+        if batch % 7 == 6:
+            most = max(most, table.stored_rows() / len(best))
+    assert {(r.country, r.deal_id): r.event_ts for r in table.read().collect()} == best
+    assert most <= 3 and len(list((tmp_path / "runs").iterdir())) < 20
+
+
+def test_unfinished_run_is_not_read(spark, tmp_path):
+    schema = spark.createDataFrame([], "k long, n long").schema
+    table = MergedRuns(spark, f"{tmp_path}/runs", schema, ("k",), {"n": F.sum})
+    assert table.read().collect() == []
+    for batch, n in enumerate((10, 4, 1)):
+        table.add(spark.range(n).selectExpr("id AS k", "1L AS n").coalesce(1), batch)
+    before = sorted(tuple(r) for r in table.read().collect())
+    broken = tmp_path / "runs" / "run-0-7"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"half")
+    assert sorted(tuple(r) for r in table.read().collect()) == before
+    assert dict(before)[0] == 3 and dict(before)[9] == 1
 
 
 def test_whole_numbers_keep_all_digits(spark, tmp_path):
