@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from funnelloom.catalog.registry import (
     SQL_GRAINS,
     VIEWS,
+    board,
     query,
     sql_bucket,
     sql_grain_label,
@@ -38,6 +39,8 @@ for _track in ("mm", "inmo"):
 SELECT country, deal_id, state_id FROM v_state_log_{_track} WHERE deal_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY country, deal_id
   ORDER BY ts DESC, seq DESC, state_id DESC) = 1"""
+    _column = "state_id" if _track == "mm" else "inmo_state_id"
+    VIEWS[f"stored_{_track}"] = f"SELECT country, deal_id, {_column} AS state_id FROM v_deal_states WHERE deal_id IS NOT NULL"
 VIEWS["first_asg"] = """
 SELECT country, asset_id, min(CAST(ts AS DATE)) AS assigned_date FROM v_stage_log
 WHERE (country = 'CO' AND stage = 'Primer_asigancion' AND team = 'Exclusivo inmobiliaria CO')
@@ -98,31 +101,31 @@ SELECT g, {sql_label()} AS c, source_id AS f, fn, p, tr, t, cal_mm, cal_inmo, as
   cal_mm_no_inmo, cal_mm_dup, cal_mm_desc, incomp, dup FROM kept"""
 
 
-@query("sellers_funnel", _SELLERS_SQL)
-def sellers_funnel(t):
-    return sellers.sellers_funnel(t.leads, t.state_log, t.stage_log, AS_OF)
+@board("sellers_funnel", _SELLERS_SQL)
+def sellers_funnel(t, current):
+    return sellers.sellers_funnel(t.leads, t.state_log, t.stage_log, AS_OF, current)
 
 
-@query(
+@board(
     "cohort_multi_grain",
     f"""WITH {by_grain('v_enriched', 'country, source_id', '''count(*) AS tr,
       count(DISTINCT asset_id) AS t, count(*) FILTER (mm_date IS NOT NULL) AS cal_mm''')}
     SELECT g, country, source_id, p, tr, t, cal_mm FROM kept""",
 )
-def cohort_multi_grain(t):
-    base = sellers.enrich_first_events(t.leads, t.state_log, t.stage_log, AS_OF)
+def cohort_multi_grain(t, current):
+    base = sellers.enrich_first_events(t.leads, t.state_log, t.stage_log, AS_OF, current)
     out = rollup.cohort_by_grain(base, {"cal_mm": "mm_date IS NOT NULL"}, name=None)
     return out.select("g", "country", "source_id", "p", "tr", "t", "cal_mm")
 
 
-@query(
+@board(
     "enrich_first_events",
     """SELECT deal_id, country, asset_id, CAST(mm_date AS STRING) AS mm_date,
     CAST(inmo_date AS STRING) AS inmo_date, CAST(assigned_date AS STRING) AS assigned_date, cur
     FROM v_enriched""",
 )
-def enrich_first_events(t):
-    df = sellers.enrich_first_events(t.leads, t.state_log, t.stage_log, AS_OF)
+def enrich_first_events(t, current):
+    df = sellers.enrich_first_events(t.leads, t.state_log, t.stage_log, AS_OF, current)
     dates = [F.col(c).cast("string").alias(c) for c in ("mm_date", "inmo_date", "assigned_date")]
     return df.select("deal_id", "country", "asset_id", *dates, F.col("state_id").alias("cur"))
 
@@ -146,25 +149,25 @@ _ANTI = f"""WITH rows_ AS (
 {by_grain('rows_', 'country, source_id, state_id', 'count(*) AS n')}"""
 
 
-@query(
+@board(
     "antifunnel",
     f"""{_ANTI} SELECT g, {sql_label()} AS c, source_id AS f, p, k.state_id,
     coalesce(cat.name, concat('state_', k.state_id)) AS state_name, n
     FROM kept k LEFT JOIN v_state_catalogue cat ON cat.state_id = k.state_id""",
 )
-def antifunnel(t):
-    return sellers.antifunnel(t.leads, t.state_log, t.state_catalogue, AS_OF)
+def antifunnel(t, current):
+    return sellers.antifunnel(t.leads, t.state_log, t.state_catalogue, AS_OF, current)
 
 
-@query(
+@board(
     "antifunnel_multi_grain",
     f"{_ANTI} SELECT g, country, source_id, p, state_id, n FROM kept",
 )
-def antifunnel_multi_grain(t):
-    current = events.latest_state(t.state_log).where(~F.col("state_id").isin(20, 63))
+def antifunnel_multi_grain(t, current):
+    states = events.current_state(t.state_log, current).where(~F.col("state_id").isin(20, 63))
     base = scan_leads(t.leads, AS_OF).select("country", "deal_id", "source_id", "created")
     out = rollup.count_by_grain(
-        base.join(current, ["country", "deal_id"]), ("country", "source_id", "state_id")
+        base.join(states, ["country", "deal_id"]), ("country", "source_id", "state_id")
     )
     return out.drop("start")
 
@@ -179,23 +182,23 @@ _MISSING = f"""WITH rows_ AS (
 {by_grain('rows_', 'country, source_id, state_id', 'count(*) AS n')}"""
 
 
-@query(
+@board(
     "mm_without_inmo",
     f"""{_MISSING} SELECT g, {sql_label()} AS c, source_id AS f, p,
     coalesce(k.state_id, -1) AS state_id, coalesce(cat.name, CASE WHEN k.state_id IS NULL
       THEN '(sin registro Inmo)' ELSE concat('state_', k.state_id) END) AS state_name, n
     FROM kept k LEFT JOIN v_state_catalogue cat ON cat.state_id = k.state_id""",
 )
-def mm_without_inmo(t):
-    return sellers.mm_without_inmo(t.leads, t.state_log, t.state_catalogue, AS_OF)
+def mm_without_inmo(t, current):
+    return sellers.mm_without_inmo(t.leads, t.state_log, t.state_catalogue, AS_OF, current)
 
 
-@query(
+@board(
     "missing_track_states",
     f"{_MISSING} SELECT g, country, source_id, p, state_id, n FROM kept",
 )
-def missing_track_states(t):
-    rows = sellers.missing_second_track(t.leads, t.state_log, AS_OF)
+def missing_track_states(t, current):
+    rows = sellers.missing_second_track(t.leads, t.state_log, AS_OF, current)
     out = rollup.count_by_grain(rows, ("country", "source_id", "inmo_state_id"))
     return out.drop("start").withColumnRenamed("inmo_state_id", "state_id")
 
@@ -223,21 +226,21 @@ _TRANS = f"""WITH rows_ AS (
 _TRANS_COLS = "tr, t, inc_pass, inc_left, inc_to_20, rev_pass, rev_left, rev_to_20"
 
 
-@query(
+@board(
     "transitory_states",
     f"{_TRANS} SELECT g, {sql_label()} AS c, source_id AS f, fn, p, {_TRANS_COLS} FROM kept",
 )
-def transitory_states(t):
-    return sellers.transitory_states(t.leads, t.state_log, AS_OF)
+def transitory_states(t, current):
+    return sellers.transitory_states(t.leads, t.state_log, AS_OF, current)
 
 
-@query(
+@board(
     "transition_multi_grain",
     f"""{_TRANS} SELECT g, CAST(start AS STRING) AS start, {sql_label()} AS c, source_id AS f, fn, p,
     {_TRANS_COLS} FROM kept""",
 )
-def transition_multi_grain(t):
-    out = sellers.transition_multi_grain(t.leads, t.state_log, AS_OF)
+def transition_multi_grain(t, current):
+    out = sellers.transition_multi_grain(t.leads, t.state_log, AS_OF, current)
     return out.withColumn("start", F.col("start").cast("string"))
 
 

@@ -15,6 +15,10 @@ ORACLES: dict[str, str] = {}
 VIEWS: dict[str, str] = {}
 
 
+class StoredStates(str):
+    """Oracle SQL to be run on the table of current states instead of the log's last rows."""
+
+
 def compose(body: str) -> str:
     """Put the views that ``body`` names (``v_<name>``) in front of it, each once and
     after the views it needs itself."""
@@ -24,7 +28,8 @@ def compose(body: str) -> str:
         for name in re.findall(r"\bv_([a-z0-9_]+)\b", text):
             if name in done:
                 continue
-            sql = VIEWS.get(name) or (oracle_view(name) if name in BINDINGS else None)
+            stored = isinstance(body, StoredStates) and name.startswith("current_")
+            sql = VIEWS.get(name.replace("current", "stored", 1) if stored else name) or (oracle_view(name) if name in BINDINGS else None)
             if sql is None:
                 raise KeyError(f"unknown view v_{name}")
             need(sql)
@@ -54,6 +59,21 @@ def query(key: str, oracle: str | None = None):
     return wrap
 
 
+def board(key: str, oracle: str):
+    """Register ``fn(tables, current) -> DataFrame`` for both inputs of its contract.
+
+    ``<key>`` rebuilds each deal's state from the whole log; ``<key>_from_states`` is
+    given the table of current states and reads only the log rows that decide a date.
+    """
+
+    def wrap(fn):
+        query(key, oracle)(lambda t: fn(t, None))
+        query(f"{key}_from_states", StoredStates(oracle))(lambda t: fn(t, t.deal_states))
+        return fn
+
+    return wrap
+
+
 # --- SQL text shared by many oracles ------------------------------------------------
 def sql_bucket(day: str, grain: str) -> str:
     return {

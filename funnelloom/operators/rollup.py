@@ -64,10 +64,18 @@ def cohort_by_grain(
     day: str = "created",
     asset: str = "asset_id",
     name: str | None = "source_name",
+    asset_facts: DataFrame | None = None,
+    asset_metrics: dict[str, str] | None = None,
 ) -> DataFrame:
     """Rows, distinct assets and conditional counts at six grains. ``metrics`` maps an
     output column to a condition in SQL text.
 
+    ``asset_facts`` (country, asset and one row of facts each) are joined after the rows
+    have been grouped by (keys, day, asset): a condition on them in ``asset_metrics``
+    holds for all rows of such a group alike and counts them together. The join and the
+    window below share one shuffle of the grouped rows; all rows without an asset are one
+    row per day by then, so their NULL key needs no spreading.
+
     Distinct assets are not additive over days, yet exploding every lead by six
     grains before a distinct count would shuffle six times the table. Instead each
     (keys, asset) keeps its ordered days, and a day that opens a new bucket of some
@@ -82,20 +90,24 @@ def cohort_by_grain(
         F.count("*").alias("tr"),
         *[F.expr(f"count_if({test}) AS {m}") for m, test in metrics.items()],
     )
+    late = asset_metrics or {}
+    if asset_facts is not None:
+        per_asset = per_asset.join(asset_facts, ["country", asset], "left")
+        per_asset = per_asset.withColumns({m: F.expr(f"IF({test}, tr, 0L)") for m, test in late.items()})
     before = F.lag(day).over(Window.partitionBy(*keys, asset).orderBy(day))
     opens = {
         g: f"{asset} IS NOT NULL AND (__before IS NULL OR "
         f"{bucket_sql('__before', g)} != {bucket_sql(day, g)})"
         for g in GRAINS
     }
-    sums = [F.expr(f"sum({m}) AS {m}") for m in ("tr", *metrics)]
+    sums = [F.expr(f"sum({m}) AS {m}") for m in ("tr", *metrics, *late)]
     daily = (
         per_asset.withColumn("__before", before)
         .groupBy(*keys, *names, day)
         .agg(*[F.expr(f"count_if({test}) AS __t_{g}") for g, test in opens.items()], *sums)
     )
     out = (
-        explode_grains(daily, day, (*keys, *names, "tr", *metrics), {"t": "__t"})
+        explode_grains(daily, day, (*keys, *names, "tr", *metrics, *late), {"t": "__t"})
         .groupBy("g", "start", *keys)
         .agg(*[F.min(n).alias(n) for n in names], F.sum("t").alias("t"), *sums)
     )

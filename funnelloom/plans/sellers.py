@@ -43,14 +43,19 @@ def enrich_first_events(
     With a table of current states only qualifying rows of the log are read; without
     one, one pass over the whole log serves the four deal-level columns.
     """
+    with_deal = with_deal_facts(leads, log, as_of, current)
+    return left_join_spread(with_deal, first_assignment(stage_log), on=ASSET, nullable="asset_id")
+
+
+def with_deal_facts(leads: DataFrame, log: DataFrame, as_of: dt.date, current: DataFrame | None = None) -> DataFrame:
+    """Leads with the columns that hang on their deal: first qualifications, current state."""
     base = scan_leads(leads, as_of).select(*DEAL, "asset_id", "source_id", "source_name", "created")
     if current is None:
         facts = [deal_summary(log)]
     else:
         states = current.where(F.col("deal_id").isNotNull()).select(*DEAL, "state_id", "inmo_state_id")
         facts = [first_dates(log), states]
-    with_deal = left_join_spread(base, *facts, on=DEAL, nullable="deal_id")
-    return left_join_spread(with_deal, first_assignment(stage_log), on=ASSET, nullable="asset_id")
+    return left_join_spread(base, *facts, on=DEAL, nullable="deal_id")
 
 
 SELLERS_METRICS = {
@@ -64,12 +69,16 @@ SELLERS_METRICS = {
     "dup": f"state_id = {STATE_DUPLICATE}",
 }
 
+ASSET_METRICS = {"asg_inmo": SELLERS_METRICS["asg_inmo"]}
+
 
 def sellers_funnel(
     leads: DataFrame, log: DataFrame, stage_log: DataFrame, as_of: dt.date, current: DataFrame | None = None
 ) -> DataFrame:
-    metrics = SELLERS_METRICS
-    out = cohort_by_grain(enrich_first_events(leads, log, stage_log, as_of, current), metrics)
+    own = {m: test for m, test in SELLERS_METRICS.items() if m not in ASSET_METRICS}
+    out = cohort_by_grain(
+        with_deal_facts(leads, log, as_of, current), own, asset_facts=first_assignment(stage_log), asset_metrics=ASSET_METRICS
+    )
     return out.select(
         "g",
         country_label(F.col("country")).alias("c"),
@@ -78,7 +87,7 @@ def sellers_funnel(
         "p",
         "tr",
         "t",
-        *metrics,
+        *SELLERS_METRICS,
     )
 
 

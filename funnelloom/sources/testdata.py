@@ -72,6 +72,18 @@ BINDINGS: dict[str, tuple[str, dict[str, str], str | None]] = {
         },
         None,
     ),
+    # One row per deal, kept by the CRM itself: it need not agree with the log.
+    "deal_states": (
+        "orders",
+        {
+            "country": _ORDER_COUNTRY,
+            "deal_id": "CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_orderkey END",
+            "state_id": "CAST(CASE o_orderkey % 8 WHEN 0 THEN 20 WHEN 1 THEN 63 WHEN 2 THEN 7 WHEN 3 THEN 39 "
+            "WHEN 4 THEN 3 WHEN 5 THEN 1 WHEN 6 THEN 33 ELSE NULL END AS INT)",
+            "inmo_state_id": "CAST(CASE o_orderkey % 5 WHEN 0 THEN 20 WHEN 1 THEN 7 WHEN 2 THEN 16 ELSE NULL END AS INT)",
+        },
+        "o_orderkey % 9 <> 4",
+    ),
     "state_log_mm": (
         "lineitem",
         {
