@@ -11,7 +11,10 @@ from funnelloom.functions import dates, ratios, text
 from funnelloom.operators import targets
 from funnelloom.operators.scans import scan_leads
 from funnelloom.plans import okr, weekly
+from funnelloom.session import scratch_path
+from funnelloom.sources import target_sheet
 from funnelloom.sources.testdata import AS_OF
+from funnelloom.spec import COUNTRIES
 
 D = f"DATE '{AS_OF}'"
 YEAR = AS_OF.year
@@ -87,6 +90,18 @@ def targets_from_sheet(t):
     return _shown(_targets(t))
 
 
+@query("targets_from_csv", f"SELECT {_TARGET_COLS} FROM v_targets")
+def targets_from_csv(t):
+    """The same sheets by way of one exported file per country."""
+    folder, sheet, read = scratch_path(t.spark, "sheets"), t.target_sheet, None
+    for spec in COUNTRIES:
+        path = f"{folder}/{spec.code}"
+        target_sheet.write_sheet_csv(sheet.where(F.col("country") == spec.code), path)
+        one = target_sheet.read_sheet_csv(t.spark, path, spec.code)
+        read = one if read is None else read.unionByName(one)
+    return _shown(targets.targets_from_sheet(read))
+
+
 @query("subtract_source_total", f"SELECT {_TARGET_COLS} FROM v_targets_less")
 def subtract_source_total(t):
     return _shown(targets.subtract_source_total(_targets(t), "MX", "Propiedades"))

@@ -184,3 +184,64 @@ def mask_qualified_rate(masks: DataFrame, keys: Sequence[str], required: int, re
         *keys, "cal", "total", "cal_ref", "total_ref",
         rate("cal", "total").alias("rate"), rate("cal_ref", "total_ref").alias("rate_ref"),
     )
+
+
+# --- one table for every request -------------------------------------------------------
+def lattice(masks: DataFrame, keys: Sequence[str], bits: int = len(FLAGS_13), group: int = STATE_MASK) -> DataFrame:
+    """Per group of ``keys`` one array ``total`` and one ``cal`` (qualified rows) that answer
+    all ``2 ** bits`` requests by two look-ups each.
+
+    A bit outside the OR group asks for itself: entry m holds the sum over all masks that
+    have at least m's bits there (superset sums). A bit inside the group is asked for in
+    company: entry m holds the sum over masks with no group bits beyond m's (subset sums),
+    so that the rows with none of the wanted ones can be taken off. Each bit is one pass
+    over the array of a group; rows are shuffled once, to be counted by mask.
+    """
+    per_mask = masks.groupBy(*keys, "m").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("c") == 1, F.col("n")).otherwise(0)).alias("c"))
+    # At most 2 ** bits masks are left per group, so the list is bounded.
+    lists = per_mask.groupBy(*keys).agg(F.collect_list(F.struct("m", "n", "c")).alias("__rows"))
+    out = lists
+    for name, field in (("total", "n"), ("cal", "c")):
+        by_mask = F.map_from_entries(F.transform("__rows", lambda r: F.struct(r["m"].cast("int"), r[field])))
+        out = out.withColumn(f"__{name}", by_mask)
+    places = F.sequence(F.lit(0), F.lit((1 << bits) - 1))
+    for name in ("total", "cal"):
+        out = out.withColumn(name, F.transform(places, lambda m: F.coalesce(F.col(f"__{name}")[m], F.lit(0).cast("long"))))
+    out = out.select(*keys, "total", "cal")
+    for i in range(bits):
+        inside = bool(group >> i & 1)
+        for name in ("total", "cal"):
+            out = out.withColumn(name, _summed(name, 1 << i, inside))
+    return out
+
+
+def _summed(name: str, bit: int, inside: bool) -> Column:
+    """One bit's pass: entries without it take those with it, or the other way round."""
+
+    def entry(value: Column, m: Column) -> Column:
+        has = m.bitwiseAND(F.lit(bit)) != 0
+        other = F.get(F.col(name), m.bitwiseXOR(F.lit(bit)))
+        return F.when(has if inside else ~has, value + other).otherwise(value)
+
+    # The array is named twice, so every pass is a projection of its own.
+    return F.when(F.size(name) > 0, F.transform(name, entry))
+
+
+def answer(name: str, required: Column | int, group: int = STATE_MASK) -> Column:
+    """Rows that pass a request, from the lattice column ``total`` or ``cal``."""
+    need = F.lit(required) if isinstance(required, int) else required
+    rest = need.bitwiseAND(F.lit(~group))
+    barred = F.lit(group).bitwiseAND(F.bitwise_not(need))
+    return F.get(F.col(name), rest.bitwiseOR(F.lit(group))) - F.get(F.col(name), rest.bitwiseOR(barred))
+
+
+def all_requests(table: DataFrame, keys: Sequence[str], bits: int = len(FLAGS_13)) -> DataFrame:
+    """Every request of every group: ``required, n, cal``."""
+    wanted = table.withColumn("required", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))))
+    return wanted.select(*keys, "required", answer("total", F.col("required")).alias("n"), answer("cal", F.col("required")).alias("cal"))
+
+
+def marginal_from_lattice(table: DataFrame, keys: Sequence[str], required: int) -> DataFrame:
+    """Change of the universe by flipping each filter, by look-ups alone."""
+    flips = {name: answer("total", required ^ (1 << i)).alias(name) for i, name in enumerate(FLAGS_13)}
+    return marginal_rows(table.select(*keys, answer("total", required).alias("base"), *flips.values()), keys, required)

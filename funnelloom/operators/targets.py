@@ -133,20 +133,36 @@ def subtract_source_total(long: DataFrame, country: str, exclude: str) -> DataFr
     )
 
 
+def spend_to_date(daily: DataFrame) -> DataFrame:
+    """``country, day, upto``: spend up to each calendar day between the first and the last
+    one with spend, so that any day in between is found by equality."""
+    ends = daily.where(F.col("day").isNotNull()).groupBy("country").agg(F.min("day").alias("min"), F.max("day").alias("max"))
+    spine = ends.select("country", F.explode(F.sequence("min", "max")).alias("day"))
+    upto = F.sum(F.coalesce("spend", F.lit(0))).over(Window.partitionBy("country").orderBy("day"))
+    return spine.join(daily, ["country", "day"], "left").select("country", "day", upto.alias("upto"))
+
+
 def range_sum_spend(ranges: DataFrame, daily: DataFrame, keys: Sequence[str], out: str = "spend") -> DataFrame:
     """Spend inside each inclusive range, 0 for an empty or missing one.
 
-    Ranges are few. They are cut to the days with spend of their country, opened into
-    days and joined by equality; a range condition would compare every range with every
-    day. A mistyped year thus opens no more days than the spend itself has.
+    The difference of two running sums: one at the range's last day, one at the day before
+    its first, both cut to the days with spend. Each is found by an equality join, so a
+    range is one row however long it is; a range condition would compare every range
+    with every day.
     """
     known = daily.where(F.col("day").isNotNull()).groupBy("country").agg(F.min("day").alias("__min"), F.max("day").alias("__max"))
-    low, high = F.greatest("from", "__min"), F.least("to", "__max")
-    whole = F.col("from").isNotNull() & F.col("to").isNotNull() & F.col("__min").isNotNull()
-    days = F.when(whole & (low <= high), F.sequence(low, high))
-    opened = ranges.join(known, "country", "left").select("country", *keys, F.explode_outer(days).alias("day"))
-    joined = opened.join(daily, ["country", "day"], "left")
-    return joined.groupBy("country", *keys).agg(F.coalesce(F.sum("spend"), F.lit(0)).alias(out))
+    whole = F.col("from") <= F.col("to")
+    ends = ranges.join(known, "country", "left").select(
+        "country", *keys,
+        F.when(whole, F.least("to", "__max")).alias("__last"),
+        F.when(whole, F.date_sub(F.greatest("from", "__min"), 1)).alias("__before"),
+    )
+    sums = spend_to_date(daily)
+    at = lambda end: sums.select("country", F.col("day").alias(f"__{end}"), F.col("upto").alias(f"__upto_{end}"))
+    met = ends.join(at("last"), ["country", "__last"], "left").join(at("before"), ["country", "__before"], "left")
+    # A range that ends before the first spend, or begins after the last, has its ends crossed.
+    inside = F.when(F.col("__last") > F.col("__before"), F.col("__upto_last") - F.coalesce("__upto_before", F.lit(0)))
+    return met.groupBy("country", *keys).agg(F.coalesce(F.sum(inside), F.lit(0)).alias(out))
 
 
 def daily_spend(spend: DataFrame, first: dt.date, as_of: dt.date) -> DataFrame:

@@ -167,11 +167,14 @@ def explorer_masks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("d", m.alias("m"), "c", "f").agg(F.sum("n").alias("n"))
 
 
+def complete_weeks(masks: DataFrame, as_of: dt.date) -> DataFrame:
+    weekly = masks.withColumn("week", iso_week_start(F.col("d")))
+    return weekly.where(F.col("week") < iso_week_start(F.lit(as_of)))
+
+
 def filter_effects(masks: DataFrame, as_of: dt.date, required: int = ALL_ON, latest: bool = False) -> DataFrame:
     """Marginal effect of every filter in every complete week, or in the latest one."""
-    weekly = masks.withColumn("week", iso_week_start(F.col("d")))
-    closed = weekly.where(F.col("week") < iso_week_start(F.lit(as_of)))
-    wide = marginal_sums(closed, ["week"], required)
+    wide = marginal_sums(complete_weeks(masks, as_of), ["week"], required)
     if latest:
         wide = wide.orderBy(F.desc("week")).limit(1)
     return marginal_rows(wide, ["week"], required)

@@ -11,7 +11,7 @@ from funnelloom.functions.dates import bucket_sql, start_of_day
 from funnelloom.functions.text import label_source
 from funnelloom.operators.channels import per_country
 from funnelloom.operators.scans import official_source
-from funnelloom.spec import LABELS_REVIEW, MONTH_NAMES, SHEET_BLOCK, SHEET_FIRST_OFFSET
+from funnelloom.spec import COUNTRIES, LABELS_REVIEW, MONTH_NAMES, SHEET_BLOCK, SHEET_FIRST_OFFSET
 
 PERFORMANCE = ("WEB", "lead_forms", "Estudio Inmueble")
 # Section titles in sheet order, with the grain of their rows.
@@ -28,10 +28,14 @@ SECTIONS = (
 def read_sheet_csv(spark: SparkSession, path: str, country: str) -> DataFrame:
     """One exported sheet as numbered rows of text cells.
 
-    Rows of a sheet depend on their order. ``multiLine`` keeps the file in one piece,
-    so the running id follows it; a sheet is a hand-kept file of some hundred rows.
+    Rows of a sheet depend on their order. ``multiLine`` keeps the file in one piece, so
+    the running id follows it, line breaks inside cells included; a sheet is a hand-kept
+    file of some hundred rows. The number of columns is that of the sheet's form, not of its
+    first line, which may be a short title.
     """
-    raw = spark.read.option("multiLine", "true").option("header", "false").csv(path)
+    width = SHEET_FIRST_OFFSET + SHEET_BLOCK * (max(len(spec.sheet_blocks) for spec in COUNTRIES) + 1)
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    raw = spark.read.schema(schema).option("multiLine", "true").option("escape", '"').csv(path)
     return raw.select(
         F.lit(country).alias("country"),
         F.monotonically_increasing_id().alias("row_no"),
@@ -39,6 +43,13 @@ def read_sheet_csv(spark: SparkSession, path: str, country: str) -> DataFrame:
     )
 
 
+def write_sheet_csv(sheet: DataFrame, path: str) -> None:
+    """One sheet's rows of cells as a CSV file in their order."""
+    width = SHEET_FIRST_OFFSET + SHEET_BLOCK * (max(len(spec.sheet_blocks) for spec in COUNTRIES) + 1)
+    cells = [F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(f"c{i}") for i in range(width)]
+    sheet.orderBy("row_no").coalesce(1).select(*cells).write.option("escape", '"').option("emptyValue", "").csv(path)
+
+
 def sample_sheet(leads: DataFrame, as_of: dt.date) -> DataFrame:
     """A sheet of the running year computed from the leads: per period and block the
     target, target to date, actual and previous values as sheet text."""

@@ -1,6 +1,7 @@
 """Hand-computed cases, one per semantic trap."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -437,3 +438,42 @@ def test_absent_week_stays_null_in_the_lists(spark):
     )
     lists = {r.country: r.n for r in quality.series_lists(weekly).collect()}
     assert lists == {"Colombia": [2], "México": [None]}
+
+
+# --- every request from one table -------------------------------------------------------------------
+def test_lattice_answers_every_request_as_the_direct_sum(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice("ab"), rnd.randrange(8192), rnd.randrange(2), rnd.randint(1, 9)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("none", 0, 1, 5)], "k string, m long, c int, n long")
+    got = {(r.k, r.required): (r.n, r.cal) for r in masks.all_requests(masks.lattice(df, ["k"]), ["k"]).collect()}
+    assert len(got) == 3 * 8192
+    for required in [0, 240, 16, 8191, 8191 - 240, *(rnd.randrange(8192) for _ in range(400))]:
+        for k in "ab":
+            rest, group = required & ~240, required & 240
+            hit = [(c, n) for key, m, c, n in rows if key == k and m & rest == rest and m & group]
+            assert got[k, required] == (sum(n for _, n in hit), sum(n for c, n in hit if c))
+    assert all(got["none", r] == (0, 0) for r in (0, 16, 240, 8191))
+
+
+def test_spend_ranges_by_running_sums(spark):
+    spend = {day("2026-05-01"): 5, day("2026-05-03"): 7, day("2026-05-09"): 1}
+    daily = spark.createDataFrame([("CO", d, n) for d, n in spend.items()] + [("CO", None, 99)], "country string, day date, spend long")
+    spans = [
+        ("2026-05-01", "2026-05-09", 13), ("2026-05-02", "2026-05-03", 7), ("2026-05-04", "2026-05-08", 0), ("2026-04-01", "2026-04-30", 0),
+        ("2026-05-10", "2027-05-10", 0), ("0001-01-01", "9999-12-31", 13), ("2026-05-03", "2026-05-01", 0), (None, "2026-05-09", 0), ("2026-05-09", None, 0),
+    ]
+    ranges = [("CO", i, day(a) if a else None, day(b) if b else None) for i, (a, b, _) in enumerate(spans)] + [("MX", 0, day("2026-05-01"), day("2026-05-09"))]
+    df = spark.createDataFrame(ranges, "country string, i int, `from` date, `to` date")
+    out = {(r.country, r.i): r.spend for r in targets.range_sum_spend(df, daily, ["i"]).collect()}
+    assert out == {("CO", i): n for i, (_, _, n) in enumerate(spans)} | {("MX", 0): 0}
+
+
+def test_sheet_file_keeps_order_line_breaks_and_wide_rows(spark, tmp_path):
+    from funnelloom.sources.target_sheet import read_sheet_csv, write_sheet_csv
+
+    rows = [("CO", 1, ["Metas Semanales"]), ("CO", 2, ["1", 'two\nlines, "quoted"', "04/05/2026", "", "10/05/2026"] + ["x"] * 20), ("CO", 3, ["2"])]
+    sheet = spark.createDataFrame(rows, "country string, row_no long, cells array<string>")
+    write_sheet_csv(sheet, f"{tmp_path}/sheet")
+    back = sorted(read_sheet_csv(spark, f"{tmp_path}/sheet", "CO").collect(), key=lambda r: r.row_no)
+    for r, (_, _, cells) in zip(back, rows):
+        assert r.cells[: len(cells)] == cells and not any(r.cells[len(cells) :])
