@@ -259,9 +259,29 @@ def weekly_by_source(t):
     return weekly.weekly_by_source(t.leads, t.state_log_mm, t.assigned_mart, t.spend, AS_OF)
 
 
-@query("assemble_metrics_using", _BY_SOURCE)
+@query(
+    "assemble_metrics_using",
+    f"""WITH c AS (SELECT country, {sql_bucket('created_at', 'M')} AS month, campaign, count(*) AS leads
+      FROM v_leads GROUP BY ALL),
+    o AS (SELECT country, {sql_bucket('created_at', 'M')} AS month, campaign, count(*) AS owned
+      FROM v_leads WHERE owner_id IS NOT NULL GROUP BY ALL),
+    s AS (SELECT country, {sql_bucket('date', 'M')} AS month, campaign, sum(clicks) AS clicks FROM v_spend GROUP BY ALL),
+    k AS (SELECT country, month, campaign FROM c UNION SELECT country, month, campaign FROM o
+      UNION SELECT country, month, campaign FROM s)
+    SELECT country, CAST(month AS STRING) AS month, campaign, CAST(coalesce(leads, 0) AS BIGINT) AS leads,
+      CAST(coalesce(owned, 0) AS BIGINT) AS owned, CAST(clicks AS BIGINT) AS clicks
+    FROM k LEFT JOIN c USING (country, month, campaign) LEFT JOIN o USING (country, month, campaign)
+    LEFT JOIN s USING (country, month, campaign)""",
+)
 def assemble_metrics_using(t):
-    return weekly.weekly_by_source(t.leads, t.state_log_mm, t.assigned_mart, t.spend, AS_OF)
+    keys = ["country", "month", "campaign"]
+    month = lambda c: F.trunc(c, "MONTH").alias("month")
+    leads = t.leads.select("country", month("created_at"), "campaign", "owner_id")
+    counted = leads.groupBy(*keys).agg(F.count("*").alias("leads"))
+    owned = leads.where(F.col("owner_id").isNotNull()).groupBy(*keys).agg(F.count("*").alias("owned"))
+    clicks = t.spend.select("country", month("date"), "campaign", "clicks").groupBy(*keys).agg(F.sum("clicks").alias("clicks"))
+    out = joins.assemble_metrics([counted, owned, clicks], keys, ["leads", "owned"], ["clicks"])
+    return out.withColumns({"month": F.col("month").cast("string"), "clicks": F.col("clicks").cast("long")})
 
 
 def _metrics(table: str, keys: str) -> tuple[str, str, str, str]:

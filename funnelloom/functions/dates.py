@@ -141,9 +141,13 @@ def local_hour(ts: Column, offset_hours: int) -> Column:
     return F.hour(local_timestamp(ts, offset_hours)) + 1
 
 
-def local_date_tz(ts: Column, zone: str) -> Column:
-    """Local date of a UTC instant in a named zone."""
-    return F.to_date(F.from_utc_timestamp(ts, zone))
+def local_date_tz(ts: str, kind: T.DataType, zone: str) -> Column:
+    """Local date of a time column in a named zone. An instant is one whatever the session's
+    zone; a zoneless time, or a date, is taken as UTC."""
+    utc = f"CAST({ts} AS TIMESTAMP_NTZ)"
+    if isinstance(kind, T.TimestampType):
+        utc = f"(TIMESTAMP_NTZ '1970-01-01 00:00:00' + INTERVAL '0.000001' SECOND * unix_micros({ts}))"
+    return F.expr(f"CAST(convert_timezone('UTC', '{zone}', {utc}) AS DATE)")
 
 
 def date_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "d") -> DataFrame:

@@ -28,9 +28,8 @@ LAST_STAGE = dict(FORM_PATHS)[FORM_LAST_PATH]
 LEAD = "lead_hubspot"
 
 
-def utc(ts: str) -> Column:
-    """Zoneless UTC column as an instant."""
-    return F.col(ts).cast("timestamp")
+def local_day(df: DataFrame, ts: str, zone: str) -> Column:
+    return local_date_tz(ts, df.schema[ts].dataType, zone)
 
 
 def _near(ts: str, first: dt.date, as_of: dt.date) -> Column:
@@ -52,7 +51,7 @@ def scan_pageviews(pageviews: DataFrame, as_of: dt.date, days: int = 180, zone:
         & F.col("path").like(f"{FORM_PREFIX}%")
         & F.col("anonymous_id").isNotNull()
     )
-    rows = rows.withColumn("d", local_date_tz(utc("ts"), zone))
+    rows = rows.withColumn("d", local_day(rows, "ts", zone))
     return rows.where((F.col("d") >= F.lit(first)) & (F.col("d") < F.lit(as_of))).withColumn(
         "source", classify_traffic(F.col("url"), F.col("referrer"))
     )
@@ -92,7 +91,7 @@ def stages_daily(views: DataFrame) -> DataFrame:
 def _sessions(select_content: DataFrame, zone: str) -> DataFrame:
     return (
         select_content.where(F.col("anonymous_id").isNotNull())
-        .select("anonymous_id", local_date_tz(utc("ts"), zone).alias("d_form"), "backbone_uuid")
+        .select("anonymous_id", local_day(select_content, "ts", zone).alias("d_form"), "backbone_uuid")
         .distinct()
     )
 
@@ -178,7 +177,7 @@ def form_counts(
 def referral_leads(crm_deals: DataFrame, as_of: dt.date, days: int = 180, zone: str = ZONE) -> DataFrame:
     """Leads of the form without page tracking, counted at the CRM by local day."""
     first = as_of - dt.timedelta(days=days)
-    day = local_date_tz(utc("created"), zone)
+    day = local_day(crm_deals, "created", zone)
     rows = crm_deals.where(
         (F.col("sub_source") == FORM_SUB_SOURCE) & _near("created", first, as_of)
         & (day >= F.lit(first)) & (day < F.lit(as_of))
