@@ -259,7 +259,7 @@ class Graph:
         (``ask``) where the other part lies on a path or at its end (``known``).
         """
         paths, inner = self.compacted()
-        ends = self.nodes.select("lang", F.col("gram").alias("at"), F.col("n").alias("end_n"))
+        ends = self._often(self.nodes).select("lang", F.col("gram").alias("at"), F.col("n").alias("end_n"))
         joined = lambda a, n: F.array_join(F.slice("words", a, n), " ")
         size = F.size("words") - LONGEST + 1
         whole = (
@@ -297,7 +297,9 @@ class Graph:
     def scored(self) -> DataFrame:
         """``lang, phrase, a, l, r, score`` of every candidate at its lowest-scoring cut."""
         both, half = self.candidates()
-        counts = stored(self.nodes.unionByName(self.pairs).unionByName(self.singles), "counts")
+        # A part of a candidate occurs at least as often as the candidate.
+        often = self._often
+        counts = stored(often(self.nodes).unionByName(often(self.pairs)).unionByName(often(self.singles)), "counts")
         of = lambda part, n: counts.select("lang", F.col("gram").alias(part), F.col("n").alias(n))
         whole = both.join(of("left", "l"), ["lang", "left"]).join(of("right", "r"), ["lang", "right"])
         met = half.join(of("ask", "asked"), ["lang", "ask"])

@@ -116,10 +116,16 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}  # per worker; as long as the longest text column asked for
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        steps = np.full(n, base, np.uint64)
+        steps[:1] = 1
+        known = _POWERS[int(base)] = np.cumprod(steps, dtype=np.uint64)
+    return known[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
