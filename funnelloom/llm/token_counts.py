@@ -7,8 +7,11 @@ Content is normalised only by taking a null as an empty text: anything more woul
 the counts of the whole text. The tokenizer's version is the SHA-256 of its file.
 
 Defined results: every input row gives one row, repeated rows too; an empty text has no
-tokens; a null ``doc_id`` stays null. One run may append to a cache at a time; a run that
-failed half-way leaves no counts, since Spark commits the appended files at the end.
+tokens; a null ``doc_id`` stays null; a very long text is encoded whole; an empty table gives
+no rows; other columns are not read, whatever their names. A run that failed half-way
+leaves no counts, since Spark commits the appended files at the end. Two runs that append
+at once, or a run repeated after a lost commit, may store a digest twice: counts are
+grouped by digest when they are read, so that each is met once.
 """
 
 from __future__ import annotations
@@ -33,9 +36,9 @@ def tokenizer_digest(path: str) -> str:
 
 def cached_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     """Stored counts of one tokenizer version; makes the cache where there is none."""
-    spark.createDataFrame([], CACHE_SCHEMA).coalesce(1).write.mode("append").parquet(cache)
+    spark.createDataFrame([], CACHE_SCHEMA).coalesce(1).write.mode("ignore").parquet(cache)
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache)
-    return known.where(F.col("tokenizer") == tokenizer).select("digest", "n_tokens")
+    return known.where(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def _counter(path: str):

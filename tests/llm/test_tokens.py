@@ -68,6 +68,11 @@ def test_counts_odd_texts_and_cache(spark, odd, tmp_path):
         assert sorted((r.n_bytes, r.n_tokens) for r in found.collect()) == want
     assert spark.read.parquet(cache).count() == len({t or "" for t in ODD})
     assert token_counts.count_tokens(odd.limit(0), path, cache).count() == 0
+    # A cache in which two runs have stored the same digests still gives one row per document.
+    spark.read.parquet(cache).write.mode("append").parquet(f"{cache}-twice")
+    spark.read.parquet(cache).write.mode("append").parquet(f"{cache}-twice")
+    twice = token_counts.count_tokens(odd, path, f"{cache}-twice")
+    assert sorted(map(str, twice.collect())) == sorted(map(str, token_counts.count_tokens(odd, path, cache).collect()))
 
 
 def test_files(spark):
