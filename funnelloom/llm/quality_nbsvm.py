@@ -10,7 +10,11 @@ slope and offset of the logistic score. Every document is scored.
 Labels, language, source and id are no features. Rows held out never reach counts, fit or
 calibration. Defined results: a null text is an empty one and gets the score of a text
 without features; where labels of one class are missing, every score is the share of
-label 1 (0.5 without any label); repeated rows each get a row.
+label 1 (0.5 without any label); repeated rows each get a row; of texts that share an id
+the smallest is fitted on, so that the fitted rows are never more than the chosen labels;
+very long texts are read whole; an empty table gives no rows; other columns are not read,
+whatever their names. The fit takes its rows in the order of a hash of their ids, so that
+the same table gives the same scores however it is partitioned.
 """
 
 from __future__ import annotations
@@ -144,7 +148,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, feature = features(batch.column("text"))
         bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(feature.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), lists], names=["quality", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("quality"), lists], names=["place", "quality", "features"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -154,7 +158,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(fraction * (1 << 20)) + 1)
     # The chosen labels are bounded by ``fit_rows``, so they go to the texts, not the texts to them.
     train = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = train.select("text", "quality").mapInArrow(_rows, "quality int, features array<int>").toArrow()
+    one = train.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).withColumn("place", F.xxhash64("doc_id"))
+    rows_of = one.select("place", "quality", "text").mapInArrow(_rows, "place long, quality int, features array<int>")
+    sample = rows_of.toArrow().sort_by("place")
     label = sample["quality"].to_numpy().astype(np.int64)
     totals = np.bincount(label, minlength=2)
     if not totals.all():
@@ -169,8 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         values = scales[at]
         norm = np.sqrt(values @ values)
         rows.append((at, values / norm if norm else values))
-    # Rows arrive in the order of partitions: a fixed draw keeps both parts alike.
-    draw = np.random.default_rng(1).random(len(rows)) < 0.2
+    draw = sample["place"].to_numpy() % 5 == 0
     part = draw if len(set(label[draw])) == 2 and len(set(label[~draw])) == 2 else np.zeros(len(rows), bool)
     inner = np.flatnonzero(~part)
     balance = len(inner) / (2 * np.maximum(np.bincount(label[inner], minlength=2), 1))

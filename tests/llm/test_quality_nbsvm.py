@@ -62,3 +62,18 @@ def test_odd_rows(spark):
         assert len(found) == 5 and all(0 <= r.score <= 1 for r in found)
         assert want is None or all(r.score == want for r in found)
     assert Q.score(docs.limit(0), Q.constant(0.5)).count() == 0
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    a = Q.fit(docs, labels, 300)
+    b = Q.fit(docs.repartition(7, "doc_id"), labels.repartition(3), 300)
+    assert a.slope == b.slope and a.offset == b.offset and (a.weights == b.weights).all()
+
+
+def test_repeated_ids_add_no_rows_to_the_fit(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    a, b = Q.fit(docs, labels, 300), Q.fit(docs.unionByName(docs).unionByName(docs), labels, 300)
+    assert a.slope == b.slope and (a.weights == b.weights).all()
