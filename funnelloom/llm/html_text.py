@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -68,7 +69,8 @@ _HINTS = tuple(re.compile(p) for _, p in HINTS)
 REGIONS = "main article nav header footer aside form".split()
 N_PAGES = 600
 NESTED = 0.3  # often enough for the trees to trust a sign inside an article as well
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_OPENS = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/<>]*))")
+_SPECIAL = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -88,40 +90,99 @@ def hints_of(attributes: str) -> tuple[int, ...]:
     return tuple(k for k, hint in enumerate(_HINTS) if any(hint.search(t) for t in tokens))
 
 
+class _Marks:
+    """Tags, comments and declarations of a page, in time linear in its length.
+
+    A ``>`` inside quotes ends no tag, so a broken quote can make a tag run to the page's end
+    and fail there. How a scan goes on from a quote depends on that quote alone: those that
+    led nowhere are kept, and the next special character is kept while it lies ahead.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()
+        self.searched, self.special = 0, -1  # no special character lies between these places
+
+    def _next_special(self, at: int) -> int:
+        if not self.searched <= at <= self.special:
+            m = _SPECIAL.search(self.page, at)
+            self.searched, self.special = at, m.start() if m else len(self.page)
+        return self.special
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the ``>`` of a tag whose attributes begin at ``at``, -1 if there is none."""
+        page, seen = self.page, []
+        while at <= self.last[">"]:
+            at = self._next_special(at)
+            if at >= len(page) or at in self.dead:
+                break
+            if page[at] == ">":
+                return at
+            seen.append(at)
+            if at >= self.last[page[at]]:
+                break
+            at = page.find(page[at], at + 1) + 1
+        self.dead.update(seen)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, closes, tag, attributes); the tag is empty for all but elements."""
+        page, at = self.page, 0
+        while m := _OPENS.search(page, at):
+            if m[1]:
+                end = page.find("-->", m.end())
+                at = end + 3 if end >= 0 else len(page)
+                yield m.start(), at, False, "", ""
+                continue
+            end = page.find(">", m.end()) if m[2] and m.end() <= self.last[">"] else -1 if m[2] else self._tag_end(m.end())
+            at = end + 1 if end >= 0 else m.start() + 1
+            if end >= 0:
+                yield m.start(), at, bool(m[3]), (m[4] or "").lower(), page[m.end() : end] if m[4] else ""
+
+
 def parse(page: str) -> list[Node]:
     """Elements in page order; node 0 is the root."""
     nodes, stack, at = [Node("", (), -1)], [0], 0
-    raw = ""
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
+    blocks: list[int] = []  # places of block elements on the stack
+    open_: Counter[str] = Counter()
+
+    def cut(depth: int) -> None:
+        for k in stack[depth:]:
+            open_[nodes[k].tag] -= 1
+        del stack[depth:]
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
+
+    for start, end, closes, tag, attributes in _Marks(page):
+        if start < at:
             continue
-        if m.start() > at:
-            nodes[stack[-1]].parts.append(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        if start > at:
+            nodes[stack[-1]].parts.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if nodes[stack[d]].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+        if closes:
+            if open_[tag] > 0:
+                cut(next(d for d in range(len(stack) - 1, 0, -1) if nodes[stack[d]].tag == tag))
             continue
         while len(stack) > 1 and (nodes[stack[-1]].tag in CLOSES.get(tag, ()) or tag in ENDS_P and nodes[stack[-1]].tag == "p"):
-            stack.pop()
-        if tag in ENDS_P | {"p"}:
+            cut(len(stack) - 1)
+        if tag in ENDS_P | {"p"} and blocks and nodes[stack[blocks[-1]]].tag == "p":
             # A paragraph also ends where inline elements in it were left open.
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if nodes[stack[d]].tag in BLOCK), 0)
-            if depth and nodes[stack[depth]].tag == "p":
-                del stack[depth:]
+            cut(blocks[-1])
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = close.end() if close else len(page)
             continue
-        node = Node(tag, hints_of(m[3]) if m[3] else (), stack[-1])
+        node = Node(tag, hints_of(attributes) if attributes else (), stack[-1])
         nodes[stack[-1]].parts.append(len(nodes))
         nodes.append(node)
-        if tag not in VOID and not m[3].endswith("/"):
+        if tag not in VOID and not attributes.endswith("/"):
             stack.append(len(nodes) - 1)
+            open_[tag] += 1
+            if tag in BLOCK:
+                blocks.append(len(stack) - 1)
     if at < len(page):
         nodes[stack[-1]].parts.append(page[at:])
     return nodes

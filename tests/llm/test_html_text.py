@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -58,3 +59,33 @@ def test_query_and_clashing_columns(spark):
     odd = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert [tuple(r) for r in H.extracted(odd, 60).collect()] == [(None, None, "", 0), (1, "u", "", 0), (1, "u", "", 0)]
     assert H.extracted(odd.limit(0), 60).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page", ["<a " * 350_000, '<a "' * 250_000, "<a \"x' '" * 120_000, "<a<a" * 250_000, "<div>" * 60_000 + "</p>" * 60_000, "<b>" * 60_000 + "<p>" * 60_000, "<!" * 500_000]
+)
+def test_broken_pages_take_time_in_proportion(page):
+    began = time.process_time()
+    H.parse(page)
+    assert time.process_time() - began < 4
+
+
+def test_marks_of_broken_tags():
+    tags = lambda page: [n.tag for n in H.parse(page)[1:]]
+    assert tags('<p class="a>b">x</p><b') == ["p"]
+    assert tags("<p title='>'><a href=\"<i>\">y") == ["p", "a"]
+    assert tags('<a "><p>') == ["p"]
+    assert tags("<p><!-- <b> --><i><!x><?y>") == ["p", "i"]
+    assert tags("<P/><br><br/>") == ["p", "br", "br"]
+
+
+def test_pages_give_the_text_of_their_article(spark):
+    rows = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
+    same = seen = 0
+    for r in QUERIES["op6_html_text"](spark, FOLDER).collect():
+        whole = re.findall(r"<article\b[^>]*>(.*?)</article>", rows[r.page_id], re.S)
+        if len(whole) == 1:
+            seen += 1
+            plain = html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"(?s)<(script|style|aside|nav|form|footer)\b.*?</\1>", "", whole[0])))
+            same += re.sub(r"\s", "", plain) == re.sub(r"\s", "", r.text)
+    assert seen >= 100 and same >= 0.97 * seen, (same, seen)
