@@ -18,11 +18,14 @@ Radius: at similarity 0.8 the shingle sums correlate by 0.89, each bit differs w
 probability 0.15, so that 22 bits of 64 are 4 standard deviations above the mean.
 
 Defined results: null and empty texts and items match nothing; an item of fewer than five
-words is one shingle; repeated rows and items each give their own rows.
+words is one shingle; repeated rows and items each give their own rows; of equally similar
+windows of one item the first counts; very long texts are searched whole; an empty table, or
+an empty benchmark, gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -40,6 +43,7 @@ SIMILARITY = 0.8
 RADIUS = 22
 BLOCKS = 8
 ITEM_BYTES = 16 << 20
+CELLS = 4 << 20  # windows times items compared at once
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -110,22 +114,27 @@ class Items:
         self.places = dict(places)
         self.known = {s: np.array(sorted(v for k, v in places if k == s), np.uint64) for s in set(self.sizes)}
         self.prints = np.array(prints, np.uint64)
+        # A window is compared with items of its own length alone, so the tables go by length.
         flips = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :]) <= RADIUS // BLOCKS
         blocks = self.prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
-        self.tables = [flips[:, blocks[:, b]] for b in range(BLOCKS)]
+        lengths = np.array([len(w) for w in self.words], np.int64)
+        self.of_length = {int(n): np.flatnonzero(lengths == n) for n in np.unique(lengths)}
+        self.tables = {n: [flips[:, blocks[of, b]] for b in range(BLOCKS)] for n, of in self.of_length.items()}
 
     @staticmethod
     def _bag(w: np.ndarray, size: int) -> Counter:
         return Counter(zip(*(w[k : len(w) - size + 1 + k].tolist() for k in range(size))))
 
-    def candidates(self, prints: np.ndarray) -> np.ndarray:
-        """Windows by items: within the radius, found over the blocks."""
+    def candidates(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of the pairs within the radius, found over the blocks; items of ``n`` words."""
+        of, tables = self.of_length[n], self.tables[n]
         blocks = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
-        found = np.zeros((len(prints), len(self.ids)), bool)
-        for b, table in enumerate(self.tables):
+        found = np.zeros((len(prints), len(of)), bool)
+        for b, table in enumerate(tables):
             found |= table[blocks[:, b]]
-        near = np.bitwise_count(prints[:, None] ^ self.prints[None, :]) <= RADIUS
-        return found & near
+        window, item = np.nonzero(found)
+        near = np.bitwise_count(prints[window] ^ self.prints[of[item]]) <= RADIUS
+        return window[near], of[item[near]]
 
     def matches(self, own: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first word, words) of a document's best window per item."""
@@ -149,12 +158,11 @@ class Items:
                         spans.append((low, high))
         best: dict[int, tuple[float, int, int]] = {}
         for (s, n), spans in regions.items():
-            alike = np.array([len(w) == n for w in self.words])
+            step = max(1, min(4096, CELLS // len(self.of_length[n])))
             for low, high in spans:
-                for at in range(low, high + 1, 4096):
-                    part = own[at : min(high, at + 4095) + n]
-                    found = self.candidates(simhash(_shingles(part, s), n - s + 1)) & alike
-                    for k, i in zip(*np.nonzero(found)):
+                for at in range(low, high + 1, step):
+                    part = own[at : min(high, at + step - 1) + n]
+                    for k, i in zip(*self.candidates(simhash(_shingles(part, s), n - s + 1), n)):
                         value = similarity(self._bag(part[k : k + n], s), self.bags[i])
                         if value >= SIMILARITY and value > best.get(i, (0.0, 0, 0))[0]:
                             best[i] = (value, at + int(k), n)
@@ -186,14 +194,26 @@ class Items:
                 yield int(i), found
 
 
-def _passes(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
+_BUILT: dict[str, Items] = {}  # of this worker: the parts of the benchmark met last
+
+
+def _items(ids: list, texts: list[str | None], key: str) -> Items:
+    """The same part is built once in a worker, not once in each of its tasks."""
+    if key not in _BUILT:
+        if len(_BUILT) > 1:
+            _BUILT.clear()
+        _BUILT[key] = Items(ids, texts)
+    return _BUILT[key]
+
+
+def _passes(benchmark: DataFrame) -> Iterator[tuple[list, list, str]]:
     """The items, in as many parts as the bound on what goes to every task asks for."""
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // ITEM_BYTES) or 1
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        yield [r.item_id for r in rows], [r.text for r in rows]
+        yield [r.item_id for r in rows], [r.text for r in rows], hashlib.sha256(repr(rows).encode()).hexdigest()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -201,10 +221,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     document and item that are alike."""
     id_type, item_type = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
     found = None
-    for ids, texts in _passes(benchmark):
+    for part in _passes(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            items = Items(ids, texts)
+        def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
+            items = _items(*part)
             for batch in slices(batches, "text"):
                 rows = [(i, items.ids[m[0]], *m[1:]) for i, ms in items.search(batch.column("text")) for m in ms]
                 if rows:
@@ -215,17 +235,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     )
 
         schema = f"doc_id {id_type}, item_id {item_type}, similarity double, first_word long, n_words long"
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
+        one = docs.select("doc_id", "text").mapInArrow(run, schema)
+        found = one if found is None else found.unionByName(one)
     return found
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns as they came."""
-    for ids, texts in _passes(benchmark):
+    for part in _passes(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            items = Items(ids, texts)
+        def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
+            items = _items(*part)
             for batch in slices(batches, "text"):
                 stays = np.ones(batch.num_rows, bool)
                 stays[[i for i, _ in items.search(batch.column("text"))]] = False
