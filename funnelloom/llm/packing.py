@@ -13,7 +13,9 @@ the rest at a partition's end becomes windows of powers of two, which need no pa
 row is moved to another partition; memory holds ``BLOCK`` ids (or one document) per task.
 
 Defined results: a null text is an empty document (its end id alone); repeated rows and
-ids are packed as often as they occur; an empty table has no pieces.
+ids are packed as often as they occur; an empty table has no pieces; a very long text is
+tokenised whole and cut like others; of equally good cuts the earliest counts; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

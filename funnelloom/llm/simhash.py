@@ -15,7 +15,8 @@ point are within r of each other; each is linked to the smallest visitor.
 
 Defined results: a text without words has fingerprint zero and is linked like any other;
 a null text is an empty one; repeated rows share fingerprint and component; a null
-``doc_id`` is never a component's name unless all its documents have none.
+``doc_id`` is never a component's name unless all its documents have none; very long
+texts are hashed whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

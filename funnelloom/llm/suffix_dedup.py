@@ -21,7 +21,8 @@ bytes, so the collection here is made of short strings that provably hold every
 
 The order of occurrences is (``doc_id``, digest of the text, start). Defined results: a
 null text is an empty one; texts below ``LENGTH`` bytes never lose any; rows that repeat
-both id and text are one document and treated alike; a null ``doc_id`` comes first.
+both id and text are one document and treated alike; a null ``doc_id`` comes first; very
+long texts are read whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ half-way leaves files that no manifest names. Any store that ``pyarrow.fs`` open
 
 Defined results: a null text is an empty one and still has its end id; rows with equal
 ``doc_id`` follow each other in the order of their texts; null ids come first; an empty
-table gives an empty manifest.
+table gives an empty manifest; a very long text is one document like others; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
