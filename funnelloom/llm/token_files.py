@@ -29,6 +29,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from funnelloom.llm.common import stored, text_or_empty
 from funnelloom.llm.tokens import encoder, slices
@@ -152,12 +153,13 @@ def _writer(tokenizer_path: str, folder: str, size: int, end_id: int, pad_id: in
 def write_sequences(
     docs: DataFrame, tokenizer_path: str, folder: str, end_id: int, size: int = 2048, pad_id: int = 0
 ) -> DataFrame:
-    """Write the documents in ascending ``doc_id`` order; the manifest, one row per shard."""
-    ordered = (
-        docs.select("doc_id", text_or_empty().alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    """Write the documents in ascending ``doc_id`` order; the manifest, one row per shard.
+
+    Ranges go by id and then by the text's beginning, so that an id (or its lack) that many
+    documents share is dealt to as many shards as it fills.
+    """
+    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, 128)).sortWithinPartitions("doc_id", "text")
     made = ordered.mapInArrow(_writer(tokenizer_path, folder, size, end_id, pad_id), MANIFEST)
     return stored(made, "manifest")
 
@@ -185,7 +187,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
-def read_documents(manifest: DataFrame, id_type: str = "long") -> DataFrame:
+def _id_type(manifest: DataFrame) -> str:
+    """Type of the ids, as the first index file has it; long where there is no file."""
+    row = manifest.select("documents").first()
+    if row is None:
+        return "long"
+    store, path = _filesystem(row.documents)
+    with store.open_input_file(path) as source:
+        return from_arrow_type(pa.ipc.open_file(source).schema.field("doc_id").type).simpleString()
+
+
+def read_documents(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: ``doc_id, start, n_tokens, ids_crc32``.
 
     The running start over shards is a window over the manifest alone (a row per shard).
@@ -193,4 +205,4 @@ def read_documents(manifest: DataFrame, id_type: str = "long") -> DataFrame:
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = manifest.withColumn("before", before).select("sequences", "documents", "before")
     width = manifest.sparkSession.sparkContext.defaultParallelism * 4
-    return shards.repartition(width).mapInArrow(_read, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
+    return shards.repartition(width).mapInArrow(_read, f"doc_id {_id_type(manifest)}, start long, n_tokens long, ids_crc32 long")

@@ -106,6 +106,14 @@ def test_files_random_access(spark, odd, tmp_path):
     assert token_files.read_documents(manifest).count() == len(ODD)
     empty = token_files.write_sequences(odd.limit(0), path, f"file://{tmp_path}/e", end_id=2)
     assert token_files.read_documents(empty).count() == 0
+    # Ids of another type, one of them on most rows, and rows without any.
+    rows = [("same" if i % 4 else None if i % 8 else f"id{i}", f"text {i}") for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    named = token_files.write_sequences(spark.createDataFrame(rows, "doc_id string, text string").repartition(5), path, f"file://{tmp_path}/n", end_id=2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = sorted(token_files.read_documents(named).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in back] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or ""))
+    assert max(r.n_documents for r in named.collect()) < 300
 
 
 def check_packing(pieces, want, size):
