@@ -4,22 +4,28 @@ The tree has a fixed depth: a line's leaf is its number of tokens and its first
 with every token that has a digit taken as a variable. Within a leaf, a token that stands
 at its place in fewer than ``MIN_DOCUMENTS`` lines is a variable too; what remains is the
 line's template. Templates of which enough tokens are fixed and that enough documents
-have, in varied surroundings, are recurring, and their lines are dropped.
-
-Surroundings: a copied document repeats its lines as well, but always beside the same
-neighbours. A line counts as a template of its own only if the lines before it, or those
-after it, differ in at least half of the documents; copies of whole texts are left to
-near-duplicate detection. A text's first and last line have no such neighbour on one side,
-which counts as one that never varies.
-
-Work: a row of hashes per line, aggregated per leaf (map-side combine); token rows only
-for distinct lines of leaves that recur; one join back to the texts on a digest of the
-row. A line that a third of the documents share is one row per map task in the first step
-and sits on the side that AQE splits in the joins.
-
-Defined results: a null text stays null and has no lines; an empty text has none either;
-a text whose lines are all dropped becomes empty; repeated rows count as documents of
-their own and are treated alike; a null ``doc_id`` does no harm.
+have are recurring, and their lines are dropped, whole blocks of them as well as single ones.
+
+Copies: a copied document repeats its lines, too, and dropping them would empty all copies.
+What tells boilerplate from a copy is that documents with boilerplate say something else
+besides. A document therefore votes for its templates only if at most ``MOST`` of its
+lines are candidates, that is, templates of ``MIN_DOCUMENTS`` or more documents. Templates
+that enough votes carry are dropped wherever they stand; copies of whole texts are left to
+near-duplicate detection.
+
+Work: a row of hashes per line, from one pass in which each line is normalised once;
+token rows only for distinct lines of leaves that recur; one join back to the texts on a
+digest of the row. A line that a third of the documents share is one row per map task in
+the first step and sits on the side that AQE splits in the joins. All choices that tell
+lines apart are parameters: ``min_tokens`` (shortest line considered, 1) and
+``min_documents``. The depth is 2: variable third tokens (names in "Posted by <name> ...")
+would part the lines of one template at depth 3.
+
+Defined results: a null text stays null and has no lines; an empty text has none either,
+and lines of white space are no templates; a text whose lines are all dropped becomes empty;
+rows that repeat both id and text have one vote and are treated alike; very long texts and
+lines are rows like others; an empty table stays empty; other columns are kept as they
+came, whatever their names; a null ``doc_id`` does no harm.
 """
 
 from __future__ import annotations
@@ -29,30 +35,34 @@ from pyspark.sql import functions as F
 
 from funnelloom.llm.common import stored
 
-DEPTH = 3  # leading tokens that make the leaf
-MIN_TOKENS = 3
+DEPTH = 2  # leading tokens that make the leaf
+MIN_TOKENS = 1
 MIN_DOCUMENTS = 10
 FIXED_SHARE = 0.7
+MOST = (2, 3)  # a document with more candidate lines than this share has no vote
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WILD = "<*>"
 
 
-def _normal(line: Column) -> Column:
-    """Single spaces; tokens with a digit become variables."""
-    uneven = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
-    for text in ("  ", "\t", "\r", "\x0b", "\x0c"):
-        uneven |= F.contains(line, F.lit(text))
-    spaced = F.when(uneven, F.btrim(F.regexp_replace(line, _SPACE, " "))).otherwise(line)
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ 0-9]*+[0-9][^ ]*+", _WILD)).otherwise(spaced)
-
-
-def _size(normal: Column) -> Column:
-    return F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1
-
+def _normalised(lines: DataFrame, min_tokens: int) -> DataFrame:
+    """``raw`` to ``normal`` (single spaces, tokens with a digit as variables) and its ``leaf``.
 
-def _leaf(normal: Column) -> Column:
-    return F.xxhash64(_size(normal), F.substring_index(normal, " ", DEPTH))
+    Every step is a column that the next one names more than once, so that none of them is
+    worked out again for each use. Blank lines are told by the raw text: Spark would move a
+    test of a made column below the steps and work them out for it once more.
+    """
+    lines = lines.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
+    raw, spaced, normal = F.col("raw"), F.col("spaced"), F.col("normal")
+    uneven = F.startswith(raw, F.lit(" ")) | F.endswith(raw, F.lit(" "))
+    for text in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        uneven |= F.contains(raw, F.lit(text))
+    rows = lines.withColumn("spaced", F.when(uneven, F.btrim(F.regexp_replace(raw, _SPACE, " "))).otherwise(raw)).drop("raw")
+    variable = F.regexp_replace(spaced, "[^ 0-9]*+[0-9][^ ]*+", _WILD)
+    rows = rows.withColumn("normal", F.when(spaced.rlike("[0-9]"), variable).otherwise(spaced)).drop("spaced")
+    size = F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1
+    rows = rows.withColumn("leaf", F.xxhash64(size, F.substring_index(normal, " ", DEPTH)))
+    return rows.where(size >= min_tokens) if min_tokens > 1 else rows
 
 
 def _keys() -> list[Column]:
@@ -60,38 +70,16 @@ def _keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """A row of hashes per line that is long enough for a template.
-
-    Only the neighbours' hashes are made inside arrays; the rest is done on the line's
-    own row, where Spark compiles it.
-    """
-    split = docs.where("text IS NOT NULL").select(*_keys(), F.split("text", "\n").alias("raw"))
-    hashed = split.withColumn("h", F.transform("raw", lambda x: F.xxhash64(x)))
-    n = F.size("h")
-    edge = F.array(F.lit(0).cast("long"))
-    with_neighbours = F.arrays_zip(
-        F.col("raw"),
-        F.concat(edge, F.slice("h", F.lit(1), n - 1)).alias("before"),
-        F.concat(F.slice("h", F.lit(2), n), edge).alias("after"),
-    )
-    return (
-        hashed.select("k1", "k2", F.posexplode(with_neighbours).alias("pos", "x"))
-        .select("k1", "k2", "pos", _normal(F.col("x.raw")).alias("normal"), "x.before", "x.after")
-        .where(_size(F.col("normal")) >= MIN_TOKENS)
-        .select("k1", "k2", "pos", F.xxhash64("normal").alias("line"), _leaf(F.col("normal")).alias("leaf"), "before", "after")
-    )
+def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
+    """A row of hashes per line that is long enough for a template."""
+    split = docs.where("text IS NOT NULL").select(*_keys(), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    return _normalised(split, min_tokens).select("k1", "k2", "pos", F.xxhash64("normal").alias("line"), "leaf")
 
 
-def _templates(docs: DataFrame, lines: DataFrame, min_documents: int) -> DataFrame:
+def _templates(docs: DataFrame, lines: DataFrame, min_documents: int, min_tokens: int) -> DataFrame:
     """``line, template`` of the distinct lines in recurring leaves whose template is fixed enough."""
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_documents).select("leaf")
-    texts = (
-        docs.select(F.explode(F.split("text", "\n")).alias("raw"))
-        .select(_normal(F.col("raw")).alias("normal"))
-        .where(_size(F.col("normal")) >= MIN_TOKENS)
-        .withColumn("leaf", _leaf(F.col("normal")))
-    )
+    texts = _normalised(docs.select(F.explode(F.split("text", "\n")).alias("raw")), min_tokens)
     distinct = stored(
         texts.join(stored(leaves, "leaves"), "leaf", "left_semi")
         .groupBy("leaf", "normal")
@@ -119,29 +107,22 @@ def _templates(docs: DataFrame, lines: DataFrame, min_documents: int) -> DataFra
     )
 
 
-def _varied(found: DataFrame, side: str) -> DataFrame:
-    """Per template: its documents, and the different neighbours on one side."""
-    return (
-        found.groupBy("template", side)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("template")
-        .agg(F.sum(F.when(F.col(side) != 0, 1).otherwise(0)).alias("kinds"), F.sum("n").alias("n"))
-    )
-
-
-def dropped_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``k1, k2, positions``: for each row with recurring lines, their places in the text."""
-    lines = stored(_lines(docs), "line-hashes")
-    template_of = stored(_templates(docs, lines, min_documents), "templates")
-    found = stored(lines.join(template_of, "line"), "templated-lines")
-    documents = found.groupBy("template", "k1", "k2").agg(F.min("pos").alias("pos")).groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
-    sides = _varied(found, "before").unionByName(_varied(found, "after")).groupBy("template").agg(F.max("kinds").alias("kinds"), F.max("n").alias("n"))
-    recurring = stored(
-        documents.join(sides, "template")
-        .where((F.col("docs") >= min_documents) & (2 * F.col("kinds") >= F.col("docs")))
-        .select("template"),
-        "recurring",
-    )
+    lines = stored(_lines(docs, min_tokens), "line-hashes")
+    template_of = stored(_templates(docs, lines, min_documents, min_tokens), "templates")
+    found = stored(lines.join(template_of, "line").select("k1", "k2", "pos", "template").distinct(), "templated-lines")
+    documents = found.groupBy("template", "k1", "k2").agg(F.count(F.lit(1)).alias("lines"))
+    had = stored(documents, "documents-of-templates")
+    often = had.groupBy("template").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_documents).select("template")
+    candidates = stored(had.join(often, "template", "left_semi"), "candidates")
+    part, of = MOST
+    # Rows that repeat id and text share their keys; a line of theirs counts once.
+    all_lines = lines.groupBy("k1", "k2", "pos").agg(F.lit(1).alias("one")).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("all"))
+    shares = candidates.groupBy("k1", "k2").agg(F.sum("lines").alias("lines")).join(all_lines, ["k1", "k2"])
+    voters = shares.where(of * F.col("lines") <= part * F.col("all")).select("k1", "k2")
+    votes = candidates.join(voters, ["k1", "k2"], "left_semi").groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
+    recurring = stored(votes.where(F.col("docs") >= min_documents).select("template"), "recurring")
     return found.join(recurring, "template", "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("positions"))
 
 

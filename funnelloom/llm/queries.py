@@ -134,21 +134,23 @@ FROM f
 
 _NORMAL = "regexp_replace(trim(regexp_replace({}, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g')"
 ORACLES["op9_line_templates"] = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT r, p, {_NORMAL.format("ls[p]")} AS line, CASE WHEN p > 1 THEN ls[p - 1] END AS before,
-             CASE WHEN p < len(ls) THEN ls[p + 1] END AS after
-      FROM (SELECT r, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
-t AS (SELECT *, string_split(line, ' ') AS ts FROM l WHERE len(string_split(line, ' ')) >= {line_templates.MIN_TOKENS}),
+WITH d AS (SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY doc_id, text) AS c, doc_id, text,
+             string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT r, c, p, {_NORMAL.format("ls[p]")} AS line FROM (SELECT r, c, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
+t AS (SELECT *, string_split(line, ' ') AS ts FROM l WHERE line <> '' AND len(string_split(line, ' ')) >= {line_templates.MIN_TOKENS}),
 f AS (SELECT *, concat_ws(' ', len(ts), array_to_string(ts[1:{line_templates.DEPTH}], ' ')) AS leaf FROM t
       QUALIFY count(*) OVER (PARTITION BY len(ts), ts[1:{line_templates.DEPTH}]) >= {line_templates.MIN_DOCUMENTS}),
-x AS (SELECT r, p, leaf, a, ts[a] AS token,
+x AS (SELECT r, c, p, leaf, a, ts[a] AS token,
              count(*) OVER (PARTITION BY leaf, a, ts[a]) >= {line_templates.MIN_DOCUMENTS} AND ts[a] <> '<*>' AS fixed
       FROM (SELECT *, unnest(range(1, len(ts) + 1)) AS a FROM f)),
-m AS (SELECT r, p, leaf, string_agg(CASE WHEN fixed THEN token ELSE '<*>' END, ' ' ORDER BY a) AS template FROM x
+m AS (SELECT r, c, p, leaf, string_agg(CASE WHEN fixed THEN token ELSE '<*>' END, ' ' ORDER BY a) AS template FROM x
       GROUP BY ALL HAVING sum(CAST(fixed AS INT)) >= {line_templates.FIXED_SHARE} * count(*)),
-g AS (SELECT leaf, template FROM m JOIN l USING (r, p) GROUP BY ALL
-      HAVING count(DISTINCT r) >= {line_templates.MIN_DOCUMENTS}
-         AND 2 * greatest(count(DISTINCT before), count(DISTINCT after)) >= count(DISTINCT r)),
+often AS (SELECT leaf, template FROM m GROUP BY ALL HAVING count(DISTINCT c) >= {line_templates.MIN_DOCUMENTS}),
+share AS (SELECT c, count(DISTINCT p) AS hits FROM m JOIN often USING (leaf, template) GROUP BY c),
+size AS (SELECT c, count(DISTINCT p) AS n FROM t GROUP BY c),
+g AS (SELECT leaf, template FROM m JOIN often USING (leaf, template) JOIN share USING (c) JOIN size USING (c)
+      WHERE {line_templates.MOST[1]} * hits <= {line_templates.MOST[0]} * n
+      GROUP BY ALL HAVING count(DISTINCT c) >= {line_templates.MIN_DOCUMENTS}),
 k AS (SELECT r, list(p) AS ps FROM m JOIN g USING (leaf, template) GROUP BY r)
 SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE CAST(len(ls) AS BIGINT) END AS n_lines,
        CAST(coalesce(len(ps), 0) AS BIGINT) AS n_dropped,

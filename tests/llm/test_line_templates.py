@@ -35,3 +35,30 @@ def test_by_hand(spark):
 def test_native(spark):
     plan = QUERIES["op9_line_templates"](spark, FOLDER)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def _own(i, k):
+    return " ".join(f"{w}{i}x{k}".translate(str.maketrans("0123456789", "abcdefghij")) for w in ("tree", "stone", "lake", "hill"))
+
+
+def _cleaned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r.doc_id: r.text for r in L.deduplicated(docs).collect()}
+
+
+def test_blocks_short_lines_and_names(spark):
+    head = ["Home and garden news", "Read more", "All rights reserved by the evening page"]
+    texts = ["\n".join([*head, _own(i, 1), _own(i, 2), f"Posted by {_own(i, 3).split()[0]} on the evening page"]) for i in range(60)]
+    kept = _cleaned(spark, texts)
+    assert kept == {i: f"{_own(i, 1)}\n{_own(i, 2)}" for i in range(60)}
+
+
+def test_near_copies_keep_their_lines(spark):
+    body = [_own(900, k) for k in range(12)]
+    texts = ["\n".join([*body[: i % 12], _own(i, 50), *body[i % 12 + 1 :]]) for i in range(40)]
+    assert _cleaned(spark, texts) == dict(enumerate(texts))
+
+
+def test_repeated_rows_have_one_vote(spark):
+    docs = spark.createDataFrame([(1, f"Shared line of text\n{_own(1, 1)}")] * 30, "doc_id long, text string")
+    assert {r.n_dropped for r in L.report(docs).collect()} == {0}
