@@ -68,6 +68,8 @@ class MergedRuns:
             self._fs.delete(self._path(self._name(old)), True)
         self._write(rows, (batch, batch))
         runs.append((batch, batch))
+        if len(runs) == 1:
+            return
         sizes = [self._rows([r]).count() for r in runs]  # from the files' footers
         merged, size = 1, sizes[-1]
         while merged < len(runs) and sizes[-merged - 1] < 2 * size:
