@@ -18,6 +18,10 @@ REWRITES = {
 }
 BOARDS = (
     "sellers_funnel",
+    "sellers_funnel_from_states",
+    "transitory_states_from_states",
+    "distinct_assets_by_bitmap",
+    "range_sum_spend",
     "transitory_states",
     "assigned_explorer",
     "eligibility_flags_13",
