@@ -4,6 +4,9 @@ A day's assets of a key are a set of bits, one bitmap of 32,768 bits for each bl
 asset numbers that occurs. Bitmaps of days are united by OR, so a week, a quarter or a year
 needs no look at the assets again: a new day costs the scan of that day, and any bucket
 is an OR over stored days. Exact, unlike a sketch; asset numbers are whole numbers.
+
+A bitmap takes 4 KiB before compression, however few bits it has. Days with few assets per
+block are therefore better counted by ``rollup.cohort_by_grain``, which regroups all days.
 """
 
 from __future__ import annotations
