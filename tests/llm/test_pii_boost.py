@@ -77,10 +77,13 @@ def test_base_spans_equal_a_plain_version(spark, model):
 
 
 def test_very_long_texts(spark, model):
-    texts = ["7" * 200_000, "a" * 1_000_000, "a@b.co " * 2_000, "+1 (269) 555-3296 4524132264652876. " * 500, "1 " * 5_000, "a." * 100_000 + "@", "1.2.3.4 " * 1_000]
-    rows = found(spark, model, texts)
+    # The plain version's patterns take quadratic time on single runs; those hold nothing.
+    bare = ["7" * 200_000, "a" * 1_000_000, "a." * 100_000 + "@"]
+    texts = ["+1 (269) 555-3296 4524132264652876. " * 500, "a@b.co " * 2_000, "1 " * 5_000, "1.2.3.4 " * 1_000]
+    rows = found(spark, model, texts + bare)
     check_base(rows, texts)
-    assert rows[3].n_added == 1000
+    assert rows[0].n_added == 1000
+    assert all(rows[i].spans == "" for i in range(len(texts), len(texts) + len(bare)))
 
 
 def test_numbers_side_by_side_are_found_and_clean_texts_left_alone(spark, model):
