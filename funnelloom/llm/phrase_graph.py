@@ -51,8 +51,8 @@ COVER = (80, 100)  # a longer phrase with this share of the count takes a candid
 SCALE = 2_000_000
 TOP = 2_000
 TABLE_BITS = 28
-TALLY = 2 << 20  # hashes that a task counts before it hands them on
-SLICE = 3 << 20
+TALLY = 3 << 19  # hashes that a task counts before it hands them on
+SLICE = 2 << 20
 
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = 1
