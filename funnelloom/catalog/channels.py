@@ -259,8 +259,13 @@ def weekly_by_source(t):
     return weekly.weekly_by_source(t.leads, t.state_log_mm, t.assigned_mart, t.spend, AS_OF)
 
 
+@query("assemble_metrics_using", _BY_SOURCE)
+def assemble_metrics_using(t):
+    return weekly.weekly_by_source(t.leads, t.state_log_mm, t.assigned_mart, t.spend, AS_OF)
+
+
 @query(
-    "assemble_metrics_using",
+    "assemble_metrics_by_campaign",
     f"""WITH c AS (SELECT country, {sql_bucket('created_at', 'M')} AS month, campaign, count(*) AS leads
       FROM v_leads GROUP BY ALL),
     o AS (SELECT country, {sql_bucket('created_at', 'M')} AS month, campaign, count(*) AS owned
@@ -273,7 +278,7 @@ def weekly_by_source(t):
     FROM k LEFT JOIN c USING (country, month, campaign) LEFT JOIN o USING (country, month, campaign)
     LEFT JOIN s USING (country, month, campaign)""",
 )
-def assemble_metrics_using(t):
+def assemble_metrics_by_campaign(t):
     keys = ["country", "month", "campaign"]
     month = lambda c: F.trunc(c, "MONTH").alias("month")
     leads = t.leads.select("country", month("created_at"), "campaign", "owner_id")

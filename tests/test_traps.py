@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from funnelloom.functions import dates, ratios, text
 from funnelloom.operators import channels, compare, events, joins, masks, rollup, targets
 from funnelloom.plans import hourly, okr, quality, sellers, webform
-from funnelloom.spec import CO, FLAGS_13
+from funnelloom.spec import CO, FLAGS_13, LABELS_REVIEW
 
 AS_OF = dt.date(2026, 5, 20)
 
@@ -111,6 +111,24 @@ def test_null_channel_keeps_its_row_with_zero_metrics(spark):
     assert rows == {None: (0, None), "WEB": (0, 2.0)}
 
 
+def test_assembly_holds_all_four_metrics_of_the_weekly_review(spark):
+    from types import SimpleNamespace
+
+    from funnelloom.catalog.channels import assemble_metrics_using
+
+    when = ts("2001-07-18 10:00:00")
+    leads = spark.createDataFrame([("CO", 1, 3, when), ("CO", 2, 3, when)], "country string, deal_id long, source_id int, created_at timestamp_ntz")
+    log = spark.createDataFrame([("CO", 1, 20, when, "mm")], "country string, deal_id long, state_id int, ts timestamp_ntz, track string")
+    mart = spark.createDataFrame([("colombia", 3, when.date())] * 3, "country string, source_id int, day date")
+    spend = spark.createDataFrame([("CO", "Web", when, 2.6), ("CO", "Lead Form", when, 1.0)], "country string, acquisition_channel string, date timestamp_ntz, spend double")
+    out = assemble_metrics_using(SimpleNamespace(leads=leads, state_log_mm=log, assigned_mart=mart, spend=spend))
+    assert out.columns == ["country", "week_start", "source", "reg", "cal", "asg", "spend"]
+    assert {tuple(r) for r in out.collect()} == {
+        ("CO", "2001-07-16", "WEB", 2, 1, 3, 3.0),
+        ("CO", "2001-07-16", LABELS_REVIEW[47], 0, 0, 0, 1.0),
+    }
+
+
 def test_dictionary_duplicates_resolve_to_the_earliest_row(spark):
     d = spark.createDataFrame(
         [(7, "a", "x", "late", "P"), (3, "a", "y", "early", "P"), (1, None, "z", "none", "P")],
