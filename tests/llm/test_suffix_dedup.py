@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from funnelloom.llm import suffix_dedup as S
@@ -67,3 +68,37 @@ def test_sorted_suffixes():
     string, size = S.sorted_suffixes(strings)
     found = [(strings[i][len(strings[i]) - k :], int(i)) for i, k in zip(string, size)]
     assert found == sorted((s[i:], k) for k, s in enumerate(strings) for i in range(len(s) + 1))
+
+
+def test_suffixes_laid_on_places():
+    rng = random.Random(8)
+    strings = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(0, 9))) for _ in range(15)]
+    places = np.array([rng.randint(0, len(s)) for s in strings])
+    string, size = S.sorted_suffixes(strings, places)
+    found = [(int(places[i]) - len(strings[i]) + int(k), strings[i][len(strings[i]) - k :], int(i)) for i, k in zip(string, size)]
+    every = [(int(places[i]) - j, s[j:], i) for i, s in enumerate(strings) for j in range(len(s) + 1)]
+    assert sorted(found) == sorted(every)
+    assert [f[:2] for f in found] == sorted(f[:2] for f in every)
+    assert [len(a) for a in S.sorted_suffixes([], np.zeros(0, np.int64))] == [0, 0]
+
+
+@pytest.mark.parametrize("copies", [5000, 3])
+def test_large_collections_are_split_and_not_dealt_by_window(spark, monkeypatch, copies):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+    passage = text(130)
+    docs = [(i, text(rng.randint(80, 120)) + passage + text(rng.randint(80, 120))) for i in range(80)]
+    docs += [(i + 80, docs[i % 2][1]) for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows, store = {}, S.stored
+
+    def counted(df, purpose, *rest):
+        out = store(df, purpose, *rest)
+        rows[purpose] = max(rows.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(S, "stored", counted)
+    assert as_dict(S.removed(frame, 4, copies)) == brute(docs)
+    # The passage's edges make many different segments, of up to 69 windows, around one anchor.
+    assert rows["segments"] > 200
+    assert max(rows.values()) <= 2 * rows["segments"]
