@@ -283,6 +283,20 @@ def _position() -> Column:
     return F.struct("doc_id", "key", "start")
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """``stored``; the write's shuffle files go when it ends, not when the driver next collects garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return stored(df, purpose)
+    finally:
+        if before is None:
+            conf.unset(name)
+        else:
+            conf.set(name, before)
+
+
 def _halves(segments: DataFrame) -> DataFrame:
     """The segments' windows dealt to two longer anchors, by the bytes before the anchor in a window.
 
@@ -314,7 +328,7 @@ def _copies(segments: DataFrame, first: DataFrame, copies: int) -> DataFrame:
     """``doc_id, key, start, length`` of all equal segments but the earliest."""
     same = ("bytes", "anchor", "place")
     digest = [F.xxhash64(*same).alias("d1"), F.xxhash64(F.lit(1), *same).alias("d2")]
-    repeats = stored(first.where("n > 1").select("first", "n", *digest), "repeated-segments")
+    repeats = _kept(first.where("n > 1").select("first", "n", *digest), "repeated-segments")
     dealt = segments.select("doc_id", "key", "start", F.length("bytes").cast("long").alias("length"), *digest)
     often = F.broadcast(repeats.where(F.col("n") > copies))  # of N segments at most N / copies
     found = dealt.join(often, ["d1", "d2"]).unionByName(
@@ -332,23 +346,23 @@ def covered_spans(docs: DataFrame, collection: int = COLLECTION, copies: int = C
     again = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     table = spark.sparkContext.broadcast(_bit_table(again))
     schema = f"doc_id {id_type}, key long, start long, anchor long, place int, bytes binary"
-    segments = stored(source.mapInArrow(_segments(table), schema), "segments")
-    segments = segments.withColumns({"low": F.lit(0), "high": F.lit(SLACK)})
+    segments = _kept(source.mapInArrow(_segments(table), schema), "segments")
     span = f"doc_id {id_type}, key long, start long, length long"
     found = None
     for halvings in range(SLACK.bit_length(), -1, -1):
-        first = stored(
-            segments.groupBy("anchor", "low", "high", "place", "bytes").agg(
+        range_ = [c for c in ("low", "high") if c in segments.columns]
+        first = _kept(
+            segments.groupBy("anchor", *range_, "place", "bytes").agg(
                 F.min(_position()).alias("first"), F.count(F.lit(1)).alias("n")
             ),
             "first-segments",
         )
         later = _copies(segments, first, copies)
         found = later if found is None else found.unionByName(later)
-        mixed = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_segments")).where("n_segments > 1"), "mixed-anchors")
+        mixed = _kept(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_segments")).where("n_segments > 1"), "mixed-anchors")
         large = mixed.where(F.col("n_segments") > collection).select("anchor") if halvings else mixed.limit(0).select("anchor")
         split = large.limit(1).count() > 0
-        members = first.select("anchor", "first.*", "low", "high", "place", "bytes")
+        members = first.select("anchor", "first.*", *range_, "place", "bytes")
         rest = members.join(F.broadcast(large), "anchor", "left_anti") if split else members  # of N segments at most N / collection
         small = rest.join(mixed.select("anchor"), "anchor").groupBy("anchor").agg(
             F.collect_list(F.struct("doc_id", "key", "start", "place", "bytes")).alias("members")
@@ -356,8 +370,10 @@ def covered_spans(docs: DataFrame, collection: int = COLLECTION, copies: int = C
         found = found.unionByName(small.select("members").mapInArrow(_sort_collections, span))
         if not split:
             break
-        hot = stored(members.join(F.broadcast(large), "anchor"), "large-collections")
-        segments = stored(_halves(hot), "halved-segments")
+        hot = _kept(members.join(F.broadcast(large), "anchor"), "large-collections")
+        if not range_:
+            hot = hot.withColumns({"low": F.lit(0), "high": F.lit(SLACK)})
+        segments = _kept(_halves(hot), "halved-segments")
     return found
 
 
@@ -366,7 +382,7 @@ def removed(docs: DataFrame, collection: int = COLLECTION, copies: int = COPIES)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", text_or_empty().alias("text"))
     spans = covered_spans(source, collection, copies).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
-    spans = stored(spans.withColumn("at", F.xxhash64("doc_id", "key")), "spans")
+    spans = _kept(spans.withColumn("at", F.xxhash64("doc_id", "key")), "spans")
     texts = source.withColumn("key", F.xxhash64("text")).withColumn("at", F.xxhash64("doc_id", "key"))
     met = texts.alias("t").join(
         spans.alias("s"),
